@@ -29,7 +29,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     """Create (or fetch) a configured session; `settings` use `__` for dots."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in settings.items():

@@ -152,15 +152,15 @@ def json_messages(spark, sf):
 
 
 def marked_words(spark, sf):
-    """Words of four letters or more that occur in at least half of the benchmark items."""
+    """Words of three letters or more that occur in a tenth of the benchmark items."""
     items = table(spark, sf, "benchmark")
     total = items.agg(F.count(F.lit(1))).scalar()
     return (
         items.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-        .filter(F.length("word") >= 4)
+        .filter(F.length("word") >= 3)
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") * 2 >= total)
+        .filter(F.col("n") * 10 >= total)
         .select("word")
     )
 
