@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rosterline.functions.rows import differs, match, others, same
@@ -13,13 +13,13 @@ from rosterline.functions.rows import differs, match, others, same
 def _largest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the largest by `order`, then by the remaining columns.
 
-    An aggregate rather than a ranking window: each map task keeps one row per key
-    before the exchange, so the copies of a hot key never meet in one task.
-    Comparing the remaining columns as well makes ties deterministic.
+    Spark limits each key to its first row before the exchange as well, so the copies
+    of a hot key never meet in one task. Ordering by the remaining columns makes ties
+    deterministic.
     """
-    rest = list(order) + others(df, [*keys, *order])
-    best = df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_best"))
-    return best.select(*[F.col(k) if k in keys else F.col(f"_best.{k}") for k in df.columns])
+    ranking = [F.col(c).desc() for c in [*order, *others(df, [*keys, *order])]]
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*ranking))
+    return df.withColumn("_rank", first).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def dedupe_max(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -140,19 +140,31 @@ def rebuild_chain(rows: DataFrame) -> DataFrame:
     return interval_status(chained).select(*rows.columns)
 
 
-def timeline_merge(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Stored timeline plus a new load, rebuilt for the employees that gained rows.
+def fresh_rows(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """Rows of a new load whose (employee, start, salary) is not stored yet.
+
+    Only stored rows of employees in the load are compared.
+    """
+    stored = only_ids(existing, new, EMP, EMP)
+    return new_rows_only(new.select(*existing.columns), stored, [EMP, START, SALARY])
+
 
-    A new row is one whose (employee, start, salary) is not stored, so repeating a
-    load changes nothing. Employees without new rows pass through unshuffled when
-    the touched ids are small enough for Spark to broadcast.
+def merge_fresh(existing: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored timeline plus fresh rows, chained again for the employees that have any.
+
+    All other employees pass through, unshuffled when the list of touched ids is
+    small enough for Spark to broadcast. `fresh` is used three times, so a job should
+    store it first.
     """
-    identity = [EMP, START, SALARY]
-    fresh = new_rows_only(new, only_ids(existing, new, EMP, EMP), identity)
     rebuilt = rebuild_chain(only_ids(existing, fresh, EMP, EMP).unionByName(fresh))
     return exclude_ids(existing, fresh, EMP, EMP).unionByName(rebuilt)
 
 
+def timeline_merge(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored timeline plus a new load; repeating a load changes nothing."""
+    return merge_fresh(existing, fresh_rows(existing, new))
+
+
 def deactivate_ids(
     timeline: DataFrame, ids: DataFrame, as_of: dt.date, id_col: str = "employee_id"
 ) -> DataFrame:

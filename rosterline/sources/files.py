@@ -29,7 +29,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     Only a missing path counts as absent; any other failure is raised.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -38,7 +38,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def read_words(spark: SparkSession, path: str) -> DataFrame:
     """Distinct words of JSON files that each hold one array of strings."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "array<string>")).alias("word")).distinct()
 
 

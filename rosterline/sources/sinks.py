@@ -52,6 +52,12 @@ def write_alerts(texts: DataFrame, path: str) -> None:
     )
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate result and read it back, so later uses only scan it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_version(df: DataFrame, root: str, version: str, by: Sequence[str] = ()) -> DataFrame:
     """Write a table as a new version under `root` and read it back.
 

@@ -107,11 +107,22 @@ class StrikeState:
         return read_or_empty(spark, f"{self.root}/struck", STRUCK).distinct()
 
 
+Forward = Callable[[dict[str, DataFrame], int], None]
+
+
 def apply_batch(
-    state: StrikeState, flags: DataFrame, batch: int, as_of: dt.datetime, incremental: bool = False
+    state: StrikeState,
+    flags: DataFrame,
+    batch: int,
+    as_of: dt.datetime,
+    incremental: bool = False,
+    forward: Forward | None = None,
 ) -> None:
     """Store a batch of flags and everything that follows from it.
 
+    `forward` gets the stored `flags`, `strikes` and `struck` rows of the batch, to
+    pass on to a database; it may see a batch again after a failure.
+
     Each result is written once and later steps read what was written, so nothing is
     evaluated twice and flags of this batch cannot be counted twice.
     """
@@ -123,7 +134,9 @@ def apply_batch(
     current = state.strikes_before(spark, batch, among=stored)
     changed = strike_batch(stored, state.flags_before(spark, batch), current, as_of, incremental)
     updates = state.write(changed, "strikes", batch)
-    state.write(newly_capped(updates), "struck", batch)
+    out = state.write(newly_capped(updates), "struck", batch)
+    if forward is not None:
+        forward({"flags": stored, "strikes": updates, "struck": out}, batch)
 
 
 def start_strike_stream(
@@ -138,6 +151,7 @@ def start_strike_stream(
     event_time: str | None = None,
     interval: str | None = "30 seconds",
     incremental: bool = False,
+    forward: Forward | None = None,
 ) -> StreamingQuery:
     """Start the stream: parse, flag, count, price and strike out, batch by batch.
 
@@ -150,7 +164,8 @@ def start_strike_stream(
         keep = [*keys, event_time] if event_time else keys
         flagged = flag_messages(parse_messages(batch_df, value, keep), vocab, marked, keep)
         when = F.col(event_time).cast("timestamp") if event_time else instant(now)
-        apply_batch(state, flagged.select("employee_id", when.alias("start_date")), batch, now, incremental)
+        timed = flagged.select("employee_id", when.alias("start_date"))
+        apply_batch(state, timed, batch, now, incremental, forward)
 
     writer = messages.writeStream.foreachBatch(run).outputMode("update").option(
         "checkpointLocation", checkpoint

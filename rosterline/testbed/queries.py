@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rosterline.functions.dates import SECONDS_PER_DAY
 from rosterline.operators import cleaning, keyed, leaves, messages, reports, strikes, timeline
 from rosterline.session import configure
+from rosterline.sources.sinks import stage
 from rosterline.streaming.incremental import incremental_csv
 from rosterline.streaming.strike_stream import StrikeState, start_strike_stream, strike_batch
 from rosterline.testbed import tables as t
@@ -109,7 +110,10 @@ def timeline_build_keep_ends(spark, sf):
 
 
 def timeline_merge(spark, sf):
-    return timeline.timeline_merge(t.timeline(spark, sf, t.FIRST_LOAD), t.timeline(spark, sf, t.SECOND_LOAD))
+    folder = t.scratch(spark)
+    existing = stage(t.timeline(spark, sf, t.FIRST_LOAD), f"{folder}/existing")
+    load = stage(t.timeline(spark, sf, t.SECOND_LOAD), f"{folder}/load")
+    return timeline.merge_fresh(existing, stage(timeline.fresh_rows(existing, load), f"{folder}/fresh"))
 
 
 def deactivate_ids(spark, sf):

@@ -1,0 +1,133 @@
+import datetime as dt
+
+from helpers import day, plan, rows
+from rosterline.operators import reports
+
+# A holiday list with 20 dates; 173 working days follow from it.
+HOLIDAYS = """2023-07-28 2023-08-10 2023-08-04 2023-06-22 2023-07-24 2023-03-04 2023-12-09 2023-06-03
+2023-07-16 2023-08-03 2024-04-19 2024-05-11 2024-12-15 2024-07-19 2024-04-26 2024-02-28 2024-03-11
+2024-02-21 2024-08-08 2024-01-18""".split()
+
+
+def calendar(spark, days=HOLIDAYS):
+    return spark.createDataFrame([(day(d),) for d in days], "date date")
+
+
+def test_working_days_golden(spark):
+    got = reports.working_days(spark, dt.date(2024, 5, 1), dt.date(2024, 12, 31), calendar(spark))
+    assert got.count() == 173
+
+
+def test_headcount_counts_null_designation_and_zero(spark):
+    timeline = spark.createDataFrame(
+        [("eng", 1, "ACTIVE"), ("eng", 2, "INACTIVE"), ("ops", 3, "INACTIVE"), (None, 4, "ACTIVE"), ("eng", None, "ACTIVE")],
+        "designation string, emp_id bigint, status string",
+    )
+    got = reports.active_by_group(timeline)
+    assert plan(got).count("Exchange") == 1
+    assert rows(got) == [("eng", 1), ("ops", 0), (None, 1)]
+
+
+def leave(spark, data):
+    return spark.createDataFrame(
+        [(e, day(d), s) for e, d, s in data], "emp_id bigint, date date, status string"
+    ).selectExpr("*", "year(date) AS year", "month(date) AS month")
+
+
+def test_quota_usage(spark):
+    ledger = leave(
+        spark,
+        [(1, f"2024-03-{d:02d}", "ACTIVE") for d in range(1, 6)]
+        + [
+            (1, "2024-12-02", "ACTIVE"),  # not before December
+            (1, "2023-03-02", "ACTIVE"),  # other year
+            (1, "2024-03-20", "CANCELLED"),
+            (2, "2024-03-01", "ACTIVE"),  # quota 0
+            (3, "2024-03-01", "ACTIVE"),  # no quota
+            (4, "2024-03-01", "ACTIVE"),
+            (4, "2024-03-04", "ACTIVE"),
+        ],
+    )
+    quota = spark.createDataFrame(
+        [(1, 6, 2024), (1, 99, 2023), (2, 0, 2024), (4, 3, 2024), (4, 2, 2024)],
+        "emp_id int, leave_quota int, year int",
+    )
+    usage = reports.quota_usage(ledger, quota, 2024, 12)
+    assert rows(usage) == rows(
+        spark.createDataFrame(
+            [(1, 5, 6, 83.33), (2, 1, 0, None), (3, 1, None, None), (4, 2, 3, 66.67), (4, 2, 2, 100.0)],
+            "emp_id bigint, leaves_taken bigint, leave_quota int, leave_percent double",
+        )
+    )
+    assert rows(reports.quota_alerts(usage), "emp_id") == [(1,), (4,)]
+
+
+def test_threshold_is_strict(spark):
+    usage = spark.createDataFrame([(1, 80.0), (2, 80.01), (3, None)], "emp_id bigint, leave_percent double")
+    assert rows(reports.quota_alerts(usage), "emp_id") == [(2,)]
+
+
+def test_usage_prunes_the_ledger(spark, folder):
+    ledger = leave(spark, [(1, "2024-03-01", "ACTIVE"), (1, "2023-03-01", "ACTIVE"), (1, "2024-12-02", "ACTIVE")])
+    ledger.write.partitionBy("year", "month").parquet(folder + "/ledger")
+    quota = spark.createDataFrame([(1, 6, 2024)], "emp_id int, leave_quota int, year int")
+    usage = reports.quota_usage(spark.read.parquet(folder + "/ledger"), quota, 2024, 12)
+    assert "PartitionFilters: [isnotnull(year" in plan(usage)
+
+
+def test_new_alerts_and_tracking(spark):
+    alerts = spark.createDataFrame([(1, 9.0), (2, 9.0)], "emp_id bigint, leave_percent double")
+    already = spark.createDataFrame([(2,), (2,), (5,)], "emp_id bigint")
+    nothing = spark.createDataFrame([], "emp_id bigint")
+    assert rows(reports.new_alerts(alerts, already), "emp_id") == [(1,)]
+    assert rows(reports.new_alerts(alerts, nothing), "emp_id") == [(1,), (2,)]
+    assert rows(reports.alerted_union(already, alerts)) == [(1,), (2,), (5,)]
+
+
+def test_alert_text(spark):
+    alerts = spark.createDataFrame(
+        [(7, 5, 6, 83.3)], "emp_id bigint, leaves_taken bigint, leave_quota int, leave_percent double"
+    )
+    text = reports.alert_text(alerts, dt.date(2024, 5, 1)).first().value
+    assert text.splitlines() == [
+        "Employee ID: 7",
+        "Leave Taken: 5",
+        "Leave Quota: 6",
+        "Usage: 83.30%",
+        "Report Date: 2024-05-01",
+    ]
+    assert text.endswith("\n")
+
+
+def test_upcoming_leave(spark):
+    # 2024-12-23..31 has six working days, the 25th being a holiday.
+    busy = calendar(spark, ["2024-12-25"])
+    ledger = leave(
+        spark,
+        [
+            (1, "2024-12-24", "ACTIVE"),
+            (1, "2024-12-24", "ACTIVE"),  # same day again
+            (1, "2024-12-25", "ACTIVE"),  # holiday
+            (1, "2024-12-28", "ACTIVE"),  # Saturday
+            (2, "2024-12-31", "ACTIVE"),  # last day
+            (3, "2024-12-20", "ACTIVE"),  # before
+            (4, "2024-12-23", "CANCELLED"),
+            (4, "2024-12-24", "ACTIVE"),
+        ],
+    )
+    start = dt.date(2024, 12, 23)
+    assert rows(reports.upcoming_leave_alerts(ledger, busy, start, 10)) == [
+        (1, 1, "2024-12-23"),
+        (4, 2, "2024-12-23"),
+    ]
+    assert rows(reports.upcoming_leave_alerts(ledger, busy, start, 17), "emp_id") == [(4,)]
+    assert rows(
+        reports.upcoming_leave_alerts(ledger, busy, start, 10, end_inclusive=True, statuses=["ACTIVE"])
+    ) == [(1, 1, "2024-12-23"), (2, 1, "2024-12-23"), (4, 1, "2024-12-23")]
+
+
+def test_upcoming_uses_no_cross_join(spark):
+    text = plan(
+        reports.upcoming_leave_alerts(leave(spark, [(1, "2024-12-24", "ACTIVE")]), calendar(spark), dt.date(2024, 12, 1))
+    )
+    assert "NestedLoop" not in text and "Cartesian" not in text
