@@ -31,6 +31,16 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> D
     return left.alias("l").join(right.alias("r"), same("l", "r", keys), how)
 
 
+def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct keys, as the small side of a join whose other side may have a hot key.
+
+    Grouped as one struct, so the join does not reuse the partitioning of the
+    grouping but gets an exchange of its own for these few rows. Adaptive execution
+    splits a hot key only where both inputs of a join come straight from an exchange.
+    """
+    return df.select(F.struct(*keys).alias("_key")).distinct().select("_key.*")
+
+
 def others(df: DataFrame, keys: Iterable[str]) -> list[str]:
     """Columns of `df` that are not in `keys`, in order."""
     taken = set(keys)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterline.functions.rows import differs, match, others, same
+from rosterline.functions.rows import differs, distinct_keys, match, others, same
 
 
 def _largest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -45,7 +45,7 @@ def id_list(df: DataFrame, key: str, ids: DataFrame, id_col: str) -> DataFrame:
     otherwise joins by shuffle, splitting a hot key of the large side.
     """
     typed = F.col(id_col).try_cast(df.schema[key].dataType)
-    return ids.select(typed.alias("_listed")).distinct()
+    return distinct_keys(ids.select(typed.alias("_listed")), ["_listed"])
 
 
 def exclude_ids(df: DataFrame, ids: DataFrame, key: str, id_col: str = "employee_id") -> DataFrame:
@@ -62,7 +62,7 @@ def only_ids(df: DataFrame, ids: DataFrame, key: str, id_col: str = "employee_id
 
 def new_rows_only(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `new` whose key is not in `existing`; NULL keys match NULL keys."""
-    return match(new, existing.select(*keys).distinct(), keys, "left_anti")
+    return match(new, distinct_keys(existing, keys), keys, "left_anti")
 
 
 def merge_first_non_null(staging: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -81,7 +81,7 @@ def merge_first_non_null(staging: DataFrame, target: DataFrame, keys: Sequence[s
             *[F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c) for c in rest],
         )
     )
-    kept = match(target, staging.select(*keys).distinct(), keys, "left_anti")
+    kept = match(target, distinct_keys(staging, keys), keys, "left_anti")
     return hit.unionByName(kept.select(*keys, *rest))
 
 

@@ -70,7 +70,7 @@ def settle(records: DataFrame, ts: str = "ingest_timestamp") -> DataFrame:
     combined before the exchange.
     """
     keys = ["emp_id", "date"]
-    rest = [ts, *others(records, [*keys, ts])]
+    rest = [ts, *others(records, [*keys, "status", ts])]
     newest = [
         F.max(F.when(_is(status), F.struct(*rest))).alias(f"_{status}") for status in (ACTIVE, CANCELLED)
     ]
@@ -78,9 +78,9 @@ def settle(records: DataFrame, ts: str = "ingest_timestamp") -> DataFrame:
     return (
         records.groupBy(*keys)
         .agg(*_votes(), *newest)
-        .select(*keys, winner.alias("_row"))
+        .select(*keys, _verdict().alias("status"), winner.alias("_row"))
         .filter(F.col("_row").isNotNull())
-        .select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in records.columns])
+        .select(*[F.col(f"_row.{c}") if c in rest else F.col(c) for c in records.columns])
     )
 
 
