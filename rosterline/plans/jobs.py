@@ -38,7 +38,7 @@ def load_employees(
     sinks.overwrite_partitions(clean, table, by)
     day = {"year": f"{as_of:%Y}", "month": f"{as_of:%m}", "day": f"{as_of:%d}"}
     path = "/".join([table.rstrip("/"), *[f"{name}={value}" for name, value in day.items()]])
-    sink(spark.read.parquet(path).select(*keys))
+    sink(files.read_or_empty(spark, path, schemas.EMPLOYEE).select(*keys))
     return True
 
 

@@ -28,6 +28,9 @@ def test_load_employees(spark, folder):
     assert seen == [[(1, "ann", 30)]] * 2
     assert spark.read.parquet(table).count() == 1
     assert os.path.isdir(f"{table}/year=2024/month=05/day=01")
+    put(folder + "/bad", "a.csv", "name,age,emp_id", "bob,0,2")
+    assert jobs.load_employees(spark, folder + "/bad", table, dt.date(2024, 5, 2), lambda df: seen.append(rows(df)))
+    assert seen[-1] == []
 
 
 def test_empty_input_is_skipped(spark, folder):
