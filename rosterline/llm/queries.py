@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rosterline.llm import op4_packing, op9_bpe
+from rosterline.llm import op4_packing, op8_fertility, op9_bpe
 from rosterline.llm.common import small_batches, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,12 +23,16 @@ def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_packing.pack(_documents(spark, sf_dir), WORD_BPE)
 
 
+def op8_fertility_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_fertility.quality_report(_documents(spark, sf_dir), PIECE_BPE)
+
+
 def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_bpe.bpe_digest(_documents(spark, sf_dir), WORD_BPE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op4_best_two_fit, op9_rank_array_bpe]
+    named = [op4_best_two_fit, op8_fertility_bands, op9_rank_array_bpe]
     return {f.__name__: f for f in named}
 
 
