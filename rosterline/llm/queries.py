@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rosterline.llm import op4_packing, op8_fertility, op9_bpe
+from rosterline.llm import op1_lattice, op4_packing, op8_fertility, op9_bpe
 from rosterline.llm.common import small_batches, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,6 +20,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def op1_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return op1_lattice.lattice_scores(_documents(spark, sf_dir), PIECE_BPE, held_out)
+
+
 def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_packing.pack(_documents(spark, sf_dir), WORD_BPE)
 
@@ -32,7 +38,7 @@ def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op4_best_two_fit, op8_fertility_bands, op9_rank_array_bpe]
+    named = [op1_subword_lattice, op4_best_two_fit, op8_fertility_bands, op9_rank_array_bpe]
     return {f.__name__: f for f in named}
 
 
