@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,5 +115,50 @@ def _jump(state: DataFrame) -> DataFrame:
         state = staged(moved.select("node", F.col("to").alias("component")))
 
 
-#: The words of the checks: what lies between spaces, tabs and line ends of ASCII.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+def packed_texts(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(key, id, packed): every text compressed before it crosses an exchange, null as empty."""
+
+    def rows(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            packed = pa.array([pack(text) for text in utf8(batch.column(2))], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), packed], names=["key", "id", "packed"]
+            )
+
+    source = df.select(
+        text_key(id_column, text_column).alias("key"),
+        F.col(id_column).alias("id"),
+        F.col(text_column).alias("text"),
+    )
+    kind = source.schema["id"].dataType.simpleString()
+    return source.mapInArrow(rows, f"key struct<a:bigint,b:bigint>, id {kind}, packed binary")
+
+
+def unpacked(column) -> list[bytes]:
+    """The texts of an Arrow column of `packed_texts`."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(x) if x else b"" for x in column.to_pylist()]
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, remembered; `trim` bounds how many."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+    def trim(self, most: int = 500_000) -> None:
+        if len(self) > most:
+            self.clear()
+
+
+def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A bijection of 64-bit numbers that leaves no order of the input."""
+    x = values + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
