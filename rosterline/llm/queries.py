@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import op1_lattice, op4_packing, op6_substrings, op8_fertility, op9_bpe
+from rosterline.llm import op1_lattice, op4_packing, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
 from rosterline.llm.common import small_batches, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,6 +33,10 @@ def op6_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_substrings.removal_digest(_documents(spark, sf_dir))
 
 
+def op7_multi_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_jaccard.join_report(_documents(spark, sf_dir))
+
+
 def op8_fertility_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_fertility.quality_report(_documents(spark, sf_dir), PIECE_BPE)
 
@@ -42,7 +46,7 @@ def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_subword_lattice, op4_best_two_fit, op6_suffix_automata, op8_fertility_bands, op9_rank_array_bpe]
+    named = [op1_subword_lattice, op4_best_two_fit, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe]
     return {f.__name__: f for f in named}
 
 
