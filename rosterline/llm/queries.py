@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import op1_lattice, op3_pq, op4_packing, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
+from rosterline.llm import op1_lattice, op2_chain, op3_pq, op4_packing, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
 from rosterline.llm.common import small_batches, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,11 @@ def op1_subword_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_lattice.lattice_scores(_documents(spark, sf_dir), PIECE_BPE, held_out)
 
 
+def op2_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    categories = {"low_quality": 1 - F.col("quality"), "toxic": F.col("toxic")}
+    return op2_chain.toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels"), categories)
+
+
 def op3_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_pq.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -50,7 +55,7 @@ def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_subword_lattice, op3_product_quantisation, op4_best_two_fit, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe]
+    named = [op1_subword_lattice, op2_classifier_chain, op3_product_quantisation, op4_best_two_fit, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe]
     return {f.__name__: f for f in named}
 
 
