@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import op1_lattice, op2_chain, op3_pq, op4_packing, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
+from rosterline.llm import op1_lattice, op2_chain, op3_pq, op4_packing, op5_secrets, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
 from rosterline.llm.common import small_batches, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -38,6 +38,10 @@ def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_packing.pack(_documents(spark, sf_dir), WORD_BPE)
 
 
+def op5_trigram_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_substrings.removal_digest(_documents(spark, sf_dir))
 
@@ -55,7 +59,7 @@ def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_subword_lattice, op2_classifier_chain, op3_product_quantisation, op4_best_two_fit, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe]
+    named = [op1_subword_lattice, op2_classifier_chain, op3_product_quantisation, op4_best_two_fit, op5_trigram_index, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe]
     return {f.__name__: f for f in named}
 
 
