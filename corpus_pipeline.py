@@ -3,10 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rosterline.llm import op4_packing
+from rosterline.llm import op4_packing, op6_substrings, op7_jaccard, op8_fertility, op10_pii
 from rosterline.llm.common import small_batches, staged, table
-from rosterline.llm.queries import WORD_BPE
+from rosterline.llm.queries import PIECE_BPE, WORD_BPE
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the bands of tokeniser fertility keep."""
+    small_batches(spark)
+    return op8_fertility.keep_good(docs, PIECE_BPE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    small_batches(spark)
+    return op7_jaccard.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere as well."""
+    small_batches(spark)
+    return _counted(op6_substrings.without_repeats(docs))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced by its kind."""
+    return _counted(op10_pii.mask_personal(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -15,7 +39,18 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return op4_packing.pack(docs, WORD_BPE)
 
 
-STAGES = [("best-fit packing", packing)]
+def _counted(docs: DataFrame) -> DataFrame:
+    """Bring `n_chars` in line with the text."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", substring_dedup),
+    ("personal data", personal_data),
+    ("best-fit packing", packing),
+]
 
 # Tokenising, expectation maximisation and packing have no SQL form.
 ORACLE_SQL = None

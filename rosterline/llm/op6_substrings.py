@@ -22,7 +22,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import WordHashes, mixed, packed_texts, staged, text_key, unpacked, utf8
@@ -296,7 +296,11 @@ def covered(n: int, spans: list[dict], length: int) -> np.ndarray:
 
 
 def remove_repeats(
-    df: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = WINDOW
+    df: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    length: int = WINDOW,
+    carried: Column | None = None,
 ) -> DataFrame:
     """(id, n_words, n_removed, kept): the words left of every document, joined by a space.
 
@@ -305,10 +309,11 @@ def remove_repeats(
     are judged on the input. An empty table gives no rows. Hot passages are counted
     before they meet, and an anchor with many contexts is split into windows; only
     places and compressed texts cross an exchange. `length` is at most `GRAM` + 62.
+    Another column may be carried in the id's place.
     """
     if not 0 < length <= GRAM + 62:
         raise ValueError("length is out of range")
-    packed = packed_texts(df, id_column, text_column)
+    packed = packed_texts(df, id_column, text_column, carried)
     spans = repeated_places(df, length, id_column, text_column, packed)
 
     def rows(batches):
@@ -336,10 +341,18 @@ def remove_repeats(
         packed.join(spans, "key", "left")
         .select("id", "packed", "spans")
         .mapInArrow(rows, f"id {kind}, n_words bigint, n_removed bigint, kept string")
-        .withColumnRenamed("id", id_column)
+        .withColumnRenamed("id", id_column if carried is None else "carried")
     )
 
 
+def without_repeats(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The input with repeated passages removed; texts without any stay as they are, layout included."""
+    found = remove_repeats(df, id_column, text_column, carried=F.struct("*"))
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("carried")[text_column])
+    columns = [text.alias(c) if c == text_column else F.col("carried")[c].alias(c) for c in df.columns]
+    return found.select(*columns)
+
+
 def removal_digest(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept_sha256)."""
     kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")

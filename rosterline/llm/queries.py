@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import op1_lattice, op2_chain, op3_pq, op4_packing, op5_secrets, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
+from rosterline.llm import op1_lattice, op10_pii, op2_chain, op3_pq, op4_packing, op5_secrets, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
 from rosterline.llm.common import small_batches, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -58,8 +58,12 @@ def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_bpe.bpe_digest(_documents(spark, sf_dir), WORD_BPE)
 
 
+def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_pii.personal_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_subword_lattice, op2_classifier_chain, op3_product_quantisation, op4_best_two_fit, op5_trigram_index, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe]
+    named = [op1_subword_lattice, op2_classifier_chain, op3_product_quantisation, op4_best_two_fit, op5_trigram_index, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe, op10_weak_supervision]
     return {f.__name__: f for f in named}
 
 
