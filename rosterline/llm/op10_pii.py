@@ -123,7 +123,7 @@ def _form(kind: str, value: Column) -> Column:
     if kind == "number":
         # A number as long as a card's that is no card has failed the check digit.
         return _vote(value.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), (F.length(digits) < 9) | (F.length(digits) > 12))
-    return _vote(value.rlike("[a-z]") & (F.length(value) <= 20), value.rlike("^@[A-Z_]+$"))
+    return _vote(value.rlike("[0-9_]") & (F.length(value) <= 20), value.rlike("^@[A-Z_]+$"))
 
 
 def _gazetteer(kind: str, value: Column) -> Column:
