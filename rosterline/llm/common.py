@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +147,46 @@ def unpacked(column) -> list[bytes]:
     return [unpack(x) if x else b"" for x in column.to_pylist()]
 
 
+class Memory:
+    """What a Python worker remembers of words: of `most` entries the half last added or used.
+
+    Two halves: when the young one is full it becomes the old one, and what is asked for
+    again moves back. So frequent words stay and memory is bounded.
+    """
+
+    LONGEST = 64
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = most // 2, {}, {}
+
+    def table(self, lists: list[list[bytes]], compute) -> dict:
+        """The entries of all words of some lists; `compute` gives those of a list of new words."""
+        words = set().union(*lists)
+        young, old = self.young.get, self.old.get
+        table = {w: young(w) or old(w) for w in words}
+        new = [w for w, value in table.items() if value is None]
+        if new:
+            table.update(compute(new))
+        for word in words - self.young.keys():
+            self.add(word, table[word])
+        return table
+
+    def recall(self, word: bytes):
+        """The entry of a word, None where neither half has one."""
+        value = self.young.get(word)
+        if value is None:
+            value = self.old.get(word)
+            if value is not None:
+                self.add(word, value)
+        return value
+
+    def add(self, word: bytes, value) -> None:
+        if len(word) <= self.LONGEST:
+            if len(self.young) >= self.half:
+                self.old, self.young = self.young, {}
+            self.young[word] = value
+
+
 def folded_chunks(text: bytes) -> list[bytes]:
     """What lies between ASCII white space, with A-Z in lower case where that is safe.
 
@@ -158,19 +199,12 @@ def folded_chunks(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered; `trim` bounds how many."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-    def trim(self, most: int = 500_000) -> None:
-        if len(self) > most:
-            self.clear()
+def word_hashes(lists: list[list[bytes]]) -> np.ndarray:
+    """64-bit hashes of the words of some lists, one after the other."""
+    hash_of = xxhash.xxh3_64_intdigest
+    table = {w: hash_of(w) for w in set().union(*lists)}
+    total = sum(map(len, lists))
+    return np.fromiter(map(table.__getitem__, chain.from_iterable(lists)), np.uint64, total)
 
 
 def mixed(values: np.ndarray, seed: int = 0) -> np.ndarray:

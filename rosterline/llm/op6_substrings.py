@@ -18,14 +18,15 @@ so a shard's automaton stays in the task where the contexts of its anchors arriv
 
 from __future__ import annotations
 
-from array import array
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import WordHashes, mixed, packed_texts, staged, text_key, unpacked, utf8
+from rosterline.llm.common import mixed, packed_texts, staged, text_key, unpacked, utf8, word_hashes
 
 WINDOW = 35
 GRAM = 10
@@ -35,7 +36,6 @@ SHARD_WORDS = 100_000
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_hashes = WordHashes()
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -47,8 +47,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 def contexts(words: list[list[bytes]], length: int = WINDOW) -> dict[str, np.ndarray]:
     """Per context of some documents: document, first word, words, anchor and content hash."""
     sizes = np.array([len(w) for w in words], np.int64)
-    flat = _hashes.of([x for w in words for x in w])
-    _hashes.trim()
+    flat = word_hashes(words)
     gram = min(GRAM, length)
     inside = length - gram + 1
     n = len(flat)
@@ -84,22 +83,18 @@ class SuffixAutomaton:
 
     def __init__(self):
         self.next: list[dict[int, int]] = [{}]
-        self.link = array("q", [-1])
-        self.length = array("q", [0])
-        self.count = array("q", [0])
-
-    def _state(self, length: int, transitions: dict[int, int], link: int) -> int:
-        self.next.append(transitions)
-        self.length.append(length)
-        self.link.append(link)
-        self.count.append(0)
-        return len(self.next) - 1
+        self.link, self.length, self.count = [-1], [0], [0]
 
     def _split(self, p: int, q: int, symbol: int) -> int:
         """The state of the strings that end at q by way of p: q itself, or a copy for them."""
-        if self.length[p] + 1 == self.length[q]:
+        size = self.length[p] + 1
+        if size == self.length[q]:
             return q
-        copy = self._state(self.length[p] + 1, dict(self.next[q]), self.link[q])
+        copy = len(self.next)
+        self.next.append(dict(self.next[q]))
+        self.length.append(size)
+        self.link.append(self.link[q])
+        self.count.append(0)
         self.link[q] = copy
         while p >= 0 and self.next[p].get(symbol) == q:
             self.next[p][symbol] = copy
@@ -107,43 +102,51 @@ class SuffixAutomaton:
         return copy
 
     def add(self, sequence, weight: int) -> None:
+        following, link, length, count = self.next, self.link, self.length, self.count
         last = 0
         for symbol in sequence:
-            q = self.next[last].get(symbol)
+            q = following[last].get(symbol)
             if q is not None:
-                last = self._split(last, q, symbol)
-            else:
-                new = self._state(self.length[last] + 1, {}, 0)
-                p = last
-                while p >= 0 and symbol not in self.next[p]:
-                    self.next[p][symbol] = new
-                    p = self.link[p]
-                if p >= 0:
-                    self.link[new] = self._split(p, self.next[p][symbol], symbol)
-                last = new
-            self.count[last] += weight
+                last = q if length[last] + 1 == length[q] else self._split(last, q, symbol)
+                count[last] += weight
+                continue
+            new = len(following)
+            following.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            count.append(weight)
+            p = last
+            while p >= 0:
+                q = following[p].setdefault(symbol, new)
+                if q != new:
+                    link[new] = q if length[p] + 1 == length[q] else self._split(p, q, symbol)
+                    break
+                p = link[p]
+            last = new
 
     def finish(self) -> None:
         """Pass the counts on to the shorter strings that end at the same places."""
+        link, count = self.link, self.count
         for state in np.argsort(-np.array(self.length), kind="stable").tolist():
-            if self.link[state] >= 0:
-                self.count[self.link[state]] += self.count[state]
+            if link[state] >= 0:
+                count[link[state]] += count[state]
 
     def matching_statistics(self, sequence, most: int):
         """For each end: length of the longest match, up to `most`, and how often it occurs."""
+        following, link, length, count = self.next, self.link, self.length, self.count
         state, matched = 0, 0
         for symbol in sequence:
-            while state and symbol not in self.next[state]:
-                state = self.link[state]
-                matched = self.length[state]
-            if symbol in self.next[state]:
-                state = self.next[state][symbol]
-                matched += 1
-            if matched > most:
-                matched = most
-            while self.link[state] >= 0 and self.length[self.link[state]] >= matched > 0:
-                state = self.link[state]
-            yield matched, self.count[state]
+            q = following[state].get(symbol)
+            while q is None and state:
+                state = link[state]
+                matched = length[state]
+                q = following[state].get(symbol)
+            if q is not None:
+                state = q
+                matched = matched + 1 if matched < most else most
+                while matched <= length[link[state]]:
+                    state = link[state]
+            yield matched, count[state]
 
 
 def repeated_windows(passages: list[tuple[list[bytes], int]], length: int) -> list[int]:
@@ -224,6 +227,8 @@ def _fetched(passages: DataFrame, packed: DataFrame, length: int) -> DataFrame:
 def _judged(passages: DataFrame, length: int) -> DataFrame:
     """(gram, context, mask) of passages dealt out by anchor, a shard at a time."""
 
+    most = SHARD_WORDS
+
     def rows(batches):
         held, size, last = [], 0, None
 
@@ -238,7 +243,7 @@ def _judged(passages: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(4)]
             for gram, context, n, text in zip(*columns, strict=True):
-                if size >= SHARD_WORDS and gram != last:
+                if size >= most and gram != last:
                     yield shard()
                     held, size = [], 0
                 words = text.split(b" ")
@@ -254,9 +259,11 @@ def _judged(passages: DataFrame, length: int) -> DataFrame:
 def repeated_places(df: DataFrame, length: int, id_column: str, text_column: str, packed: DataFrame) -> DataFrame:
     """(key, spans) of documents with repeated windows; a span is (start, mask of windows)."""
     source = df.select(text_key(id_column, text_column).alias("key"), F.col(text_column).alias("text"))
-    places = _places(source, length)
-    twice = places.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    places = staged(places.join(twice, "gram"))
+    places = staged(_places(source, length))
+    # Grouped as a struct, the anchors get an exchange of their own for the join, which can
+    # then split a hot one.
+    counts = places.groupBy(F.struct("gram").alias("anchor")).agg(F.count(F.lit(1)).alias("n"))
+    places = staged(places.join(counts.filter("n > 1").select("anchor.gram"), "gram"))
     passages = places.groupBy("gram", "context", "words").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "start")).alias("at")
     )
@@ -282,17 +289,12 @@ def repeated_places(df: DataFrame, length: int, id_column: str, text_column: str
     return spans.groupBy("key").agg(F.collect_set("span").alias("spans"))
 
 
-def covered(n: int, spans: list[dict], length: int) -> np.ndarray:
-    """Which of n words the repeated windows cover."""
-    edge = np.zeros(n + 1, np.int64)
-    for span in spans or ():
-        mask = span["mask"]
-        while mask:
-            at = span["start"] + (mask & -mask).bit_length() - 1
-            edge[at] += 1
-            edge[at + length] -= 1
-            mask &= mask - 1
-    return np.cumsum(edge[:-1]) > 0
+def covered(n: int, starts: np.ndarray, masks: np.ndarray, length: int) -> np.ndarray:
+    """Which of n words the repeated windows cover; bit i of a mask is the window i after its start."""
+    place, bit = np.nonzero((masks[:, None] >> np.arange(63)) & 1)
+    at = starts[place] + bit
+    edges = np.bincount(at, minlength=n + 1) - np.bincount(at + length, minlength=n + 1)
+    return np.cumsum(edges[:n]) > 0
 
 
 def remove_repeats(
@@ -319,13 +321,19 @@ def remove_repeats(
     def rows(batches):
         for batch in batches:
             total, removed, left = [], [], []
-            texts = unpacked(batch.column(1))
-            for found, text in zip(batch.column(2).to_pylist(), texts, strict=True):
+            flat = batch.column(2).flatten()
+            starts, masks = (flat.field(name).to_numpy(zero_copy_only=False) for name in ("start", "mask"))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy())
+            begin = 0
+            for end, text in zip(ends.tolist(), unpacked(batch.column(1)), strict=True):
                 words = text.split()
-                gone = covered(len(words), found, length)
                 total.append(len(words))
-                removed.append(int(gone.sum()))
-                left.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]))
+                if begin < end:
+                    stays = ~covered(len(words), starts[begin:end], masks[begin:end], length)
+                    words = list(compress(words, stays.tolist()))
+                removed.append(total[-1] - len(words))
+                left.append(b" ".join(words))
+                begin = end
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

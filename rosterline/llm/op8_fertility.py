@@ -9,6 +9,7 @@ without one takes the band of its script.
 from __future__ import annotations
 
 import math
+from array import array
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -18,7 +19,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import utf8
+from rosterline.llm.common import Memory, utf8
 
 MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
@@ -62,31 +63,28 @@ def _pieces(path: str):
     return model, fallback
 
 
-# Words that a Python worker remembers; their number and length bound its memory.
-REMEMBERED, LONGEST_REMEMBERED = 600_000, 64
-_remembered: dict[str, dict[bytes, bytes]] = {}
+# Words that a Python worker remembers.
+REMEMBERED = 600_000
+_remembered: dict[str, Memory] = {}
 
 
-def _word_ids(path: str, words: list[bytes]) -> np.ndarray:
-    """Ids of the words of a text, each encoded as it is after a space."""
-    known = _remembered.setdefault(path, {})
-    new = [w for w in set(words) if w not in known]
-    fresh = {}
-    if new:
-        found = _pieces(path)[0].encode([w.decode("utf-8", "replace") for w in new], num_threads=1)
-        fresh = {w: np.array(ids, "<u2").tobytes() for w, ids in zip(new, found, strict=True)}
-        short = {w: ids for w, ids in fresh.items() if len(w) <= LONGEST_REMEMBERED}
-        if len(known) + len(short) > REMEMBERED:
-            fresh |= {w: known[w] for w in words if w in known}
-            known.clear()
-        known.update(short)
-    joined = b"".join([known[w] if w in known else fresh[w] for w in words])
-    return np.frombuffer(joined, "<u2")
+def _word_ids(path: str, texts: list[list[bytes]]) -> dict[bytes, bytes]:
+    """Ids of the words of some texts, each encoded as it is after a space."""
 
+    def encoded(words):
+        found = _pieces(path)[0].encode([w.decode("utf-8", "replace") for w in words], num_threads=1)
+        return {w: array("H", ids).tobytes() for w, ids in zip(words, found, strict=True)}
 
-def fertility(path: str, words: list[bytes], word_chars: int) -> tuple[float, float, float]:
-    """Characters per token, share of byte-fallback tokens, entropy in bits; zeros without words."""
-    ids = _word_ids(path, words)
+    return _remembered.setdefault(path, Memory(REMEMBERED)).table(texts, encoded)
+
+
+def fertility(path: str, words: list[bytes], word_chars: int, known=None) -> tuple[float, float, float]:
+    """Characters per token, share of byte-fallback tokens, entropy in bits; zeros without words.
+
+    `known` holds the ids of the words, if they have been looked up.
+    """
+    known = known or _word_ids(path, [words])
+    ids = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u2")
     if not len(ids):
         return 0.0, 0.0, 0.0
     share = np.bincount(ids)
@@ -175,10 +173,12 @@ def quality(
     def rows(batches):
         for batch in batches:
             out = []
-            for raw, language in zip(utf8(batch.column(1)), batch.column(2).to_pylist(), strict=True):
+            texts = utf8(batch.column(1))
+            known = _word_ids(path, [raw.split() for raw in texts])
+            for raw, language in zip(texts, batch.column(2).to_pylist(), strict=True):
                 words, chars, symbols, lines, repeated = base_counts(raw)
                 failed = len(words) < MIN_WORDS or 100 * repeated > 50 * len(words)
-                measured = fertility(path, words, chars)
+                measured = fertility(path, words, chars, known)
                 name = language if language in bands else script_of(raw.decode("utf-8", "replace"))
                 kept = not failed and accepted(measured, chars, bands[name])
                 out.append((len(words), chars, symbols, lines, repeated, failed, kept, *measured, name))
