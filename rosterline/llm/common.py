@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -34,16 +36,19 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session, whose tasks all see the local disk, may leave the setting
     out; it then gets a folder of its own.
     """
-    key = "spark.checkpoint.dir"
-    root = spark.conf.get(key, None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local["):
-            raise ValueError(f"{key} must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set(key, root)
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="checkpoints-")
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
@@ -147,6 +152,19 @@ def unpacked(column) -> list[bytes]:
     return [unpack(x) if x else b"" for x in column.to_pylist()]
 
 
+def larger_batches(batches, most_bytes: int = 8 << 20):
+    """Arrow batches put together to about so many bytes, so that fewer words are looked up twice."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 class Memory:
     """What a Python worker remembers of words: of `most` entries the half last added or used.
 
@@ -161,14 +179,16 @@ class Memory:
 
     def table(self, lists: list[list[bytes]], compute) -> dict:
         """The entries of all words of some lists; `compute` gives those of a list of new words."""
-        words = set().union(*lists)
-        young, old = self.young.get, self.old.get
-        table = {w: young(w) or old(w) for w in words}
-        new = [w for w, value in table.items() if value is None]
+        words = list(set().union(*lists))
+        table = dict(zip(words, map(self.young.get, words), strict=True))
+        missing = [w for w, value in table.items() if value is None]
+        again = dict(zip(missing, map(self.old.get, missing), strict=True))
+        new = [w for w, value in again.items() if value is None]
         if new:
-            table.update(compute(new))
-        for word in words - self.young.keys():
-            self.add(word, table[word])
+            again.update(compute(new))
+        for word, value in again.items():
+            self.add(word, value)
+        table.update(again)
         return table
 
     def recall(self, word: bytes):
@@ -187,16 +207,31 @@ class Memory:
             self.young[word] = value
 
 
+# A comma or full stop in front of white space that does not follow a digit, a letter of
+# ASCII or one from U+00C0 to U+00FF.
+_JOINED_MARK = re.compile(
+    rb"(?<![a-z0-9])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[,.](?=[\x20\x09-\x0D]|\Z)"
+)
+
+
 def folded_chunks(text: bytes) -> list[bytes]:
-    """What lies between ASCII white space, with A-Z in lower case where that is safe.
+    """What lies between ASCII white space, with A-Z in lower case and last marks apart where safe.
 
-    For tokenizers that lower case after composing characters. A special token is spelled
-    as it is, and a combining mark may compose with one case of a letter only, so texts with
-    either stay as they are; U+0300 to U+036F begin with the bytes CC and CD.
+    For tokenizers that lower case after composing characters, and to which a mark behind a
+    letter or digit is a word of its own.
+    A special token is spelled as it is, and a combining mark may compose with one case of a
+    letter only, so texts with either stay as they are; U+0300 to U+036F begin with the bytes
+    CC and CD.
     """
     if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
         return text.split()
-    return text.lower().split()
+    text = text.lower()
+    if _JOINED_MARK.search(text):
+        return text.split()
+    for mark in (b",", b"."):
+        for white in (b" ", b"\n"):
+            text = text.replace(mark + white, b" " + mark + white)
+    return text.split()
 
 
 def word_hashes(lists: list[list[bytes]]) -> np.ndarray:

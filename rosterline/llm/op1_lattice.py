@@ -108,6 +108,8 @@ def _blocks(source: DataFrame) -> DataFrame:
     row holds its numbers, a type row the token, its number and its count in training.
     """
 
+    most_tokens = BLOCK_TOKENS
+
     def rows(batches):
         part, block = TaskContext.get().partitionId(), 0
         numbers: dict[bytes, int] = {}
@@ -176,7 +178,7 @@ def _blocks(source: DataFrame) -> DataFrame:
                 out.append(len(ids))
                 ids_out.append(_planes(ids))
                 tokens_in += len(ids)
-                if tokens_in >= BLOCK_TOKENS or bytes_in >= BLOCK_BYTES:
+                if tokens_in >= most_tokens or bytes_in >= BLOCK_BYTES:
                     yield documents()
                     yield from types()
                     out, ids_out, at_rows = [], [], []

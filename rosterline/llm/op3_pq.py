@@ -308,7 +308,10 @@ def near_vectors(
         F.coalesce("root", "node").alias("root"),
     )
     placed = rows.select("id", "node").join(found, "node", "left")
-    smallest = placed.groupBy("root").agg(F.min("id").alias("component_id")).filter("root is not null")
+    # Grouped as a struct, the roots get an exchange of their own for the join, which can then
+    # split a hot one.
+    smallest = placed.groupBy(F.struct("root").alias("of")).agg(F.min("id").alias("component_id"))
+    smallest = smallest.select("of.root", "component_id").filter("root is not null")
     component = F.coalesce("component_id", "id")
     return placed.join(smallest, "root", "left").select(
         F.col("id").alias(id_column),

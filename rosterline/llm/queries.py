@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterline.llm import op1_lattice, op10_pii, op2_chain, op3_pq, op4_packing, op5_secrets, op6_substrings, op7_jaccard, op8_fertility, op9_bpe
+from rosterline.llm import (
+    op1_lattice,
+    op2_chain,
+    op3_pq,
+    op4_packing,
+    op5_secrets,
+    op6_substrings,
+    op7_jaccard,
+    op8_fertility,
+    op9_bpe,
+    op10_pii,
+    oracle,
+)
 from rosterline.llm.common import small_batches, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -68,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

@@ -175,9 +175,9 @@ def near_copies(seed, n):
     return texts
 
 
-@pytest.mark.parametrize("seed, often", [(1, 4), (2, 2), (3, 1000)])
-def test_families_around_the_threshold(spark, monkeypatch, seed, often):
-    monkeypatch.setattr(op7_jaccard, "OFTEN", often)
+@pytest.mark.parametrize("seed, block", [(1, 500), (2, 1_000_000), (3, 3000)])
+def test_families_around_the_threshold(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(op7_jaccard, "BLOCK_SHINGLES", block)
     rows = list(enumerate(near_copies(seed, 40)))
     found = op7_jaccard.join_report(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
     assert Counter(tuple(r) for r in found.collect()) == jaccard_components(rows)
@@ -185,15 +185,26 @@ def test_families_around_the_threshold(spark, monkeypatch, seed, often):
 
 def test_prefixes_of_similar_sets_meet():
     rng = np.random.default_rng(4)
-    nothing = np.zeros(0, np.uint64)
     for _ in range(200):
         n = int(rng.integers(1, 60))
         a = np.unique(rng.integers(0, 1 << 60, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 1 << 60, 2).astype(np.uint64)]))
         common = len(np.intersect1d(a, b))
         linked = 100 * common >= 80 * (len(a) + len(b) - common)
-        assert op7_jaccard.similar(a, b, nothing) == linked
-        assert op7_jaccard.similar(a, b, a[: len(a) // 2]) == linked
+        assert op7_jaccard.similar(a, b) == linked
+        rare = [(s % np.uint64(7) > 3).astype(int) for s in (a, b)]
+        wanted = op7_jaccard.needed(len(a), len(b))
+        own = []
+        for s, r in zip((a, b), rare, strict=True):
+            order, place = op7_jaccard.placed(np.zeros(len(s), np.int64), s, 3, r)
+            own.append(s[order[(place <= len(s) - wanted) & (place < op7_jaccard.prefix_size(len(s)))]])
+        assert not linked or np.isin(*own).any()
+
+
+def test_cells_survive_packing():
+    rng = np.random.default_rng(0)
+    cells = np.unique(op7_jaccard.cells_of(rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2)))
+    assert (op7_jaccard.unpacked_cells(op7_jaccard.packed_cells(cells)) == cells).all()
 
 
 def test_one_row_of_each_group_stays(docs, no_docs):
