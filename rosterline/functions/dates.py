@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SECONDS_PER_DAY = 86_400
+# 0001-01-01 and 9999-12-31 as days since 1970-01-01.
+FIRST_DAY, LAST_DAY = -719_162, 2_932_896
 
 
 def epoch_date(seconds: Column) -> Column:
     """UTC calendar date of a count of seconds since 1970-01-01.
 
-    Whole-day arithmetic, so the result never depends on the session time zone.
+    Whole-day arithmetic, so the result never depends on the session time zone. A count
+    beyond the years 1 to 9999 gives NULL.
     """
-    whole = seconds.try_cast("bigint")
-    return F.date_from_unix_date(F.floor(whole / SECONDS_PER_DAY).cast("int"))
+    day = F.floor(seconds.try_cast("bigint") / SECONDS_PER_DAY)
+    return F.when(day.between(FIRST_DAY, LAST_DAY), F.date_from_unix_date(day.try_cast("int")))
 
 
 def instant(at: dt.datetime, like: T.DataType | str = "timestamp") -> Column:

@@ -21,19 +21,18 @@ def drop_weekends(df: DataFrame, date: str = "date") -> DataFrame:
 
 
 def calendar_days(calendar: DataFrame, date: str = "date") -> DataFrame:
-    """Distinct non-NULL calendar days of a table, as one DATE column `_day`.
-
-    At most one row per calendar day whatever the size of the table, which is what
-    makes broadcasting it safe.
-    """
+    """Distinct non-NULL calendar days of a table, as one DATE column `_day`."""
     days = calendar.select(F.to_date(date).alias("_day"))
     return days.filter(F.col("_day").isNotNull()).distinct()
 
 
 def drop_holidays(df: DataFrame, calendar: DataFrame, date: str = "date") -> DataFrame:
-    """Drop rows that fall on a calendar day, without moving the rows."""
-    holidays = F.broadcast(calendar_days(calendar))
-    return df.join(holidays, F.to_date(date) == F.col("_day"), "left_anti")
+    """Drop rows that fall on a calendar day.
+
+    Spark broadcasts the days when they are few, as calendar days are, and shuffles where
+    dirty dates make them many.
+    """
+    return df.join(calendar_days(calendar), F.to_date(date) == F.col("_day"), "left_anti")
 
 
 def keep_active(df: DataFrame, timeline: DataFrame, key: str = "emp_id") -> DataFrame:

@@ -41,12 +41,18 @@ def flag_messages(
     `keys` identify a message (for Kafka: topic, partition and offset; copies of a
     text under different keys stay apart). Returns the keys and `employee_id`, the
     sender. A NULL or wordless message is not flagged.
+    """
+    return flag_listed(messages, word_table(vocab, marked), keys)
+
+
+def flag_listed(messages: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`flag_messages` with the words of both lists as one `word_table`.
 
     Every distinct word of a message is looked up in one table of listed words. The
     lookup is a broadcast join while that table is below the session's threshold and
-    a shuffled one beyond, with frequent words split by adaptive execution. The words
-    of a message lie next to each other, so the aggregate shuffles about one short
-    row per message and no text.
+    a shuffled one beyond, with frequent words split by adaptive execution. A word that
+    is known and not marked cannot change the verdict, so it goes no further than the
+    lookup: the aggregate shuffles marked and unknown words only, and no text.
     """
     ids = [*keys, "employee_id"]
     found = messages.select(
@@ -54,10 +60,12 @@ def flag_messages(
         F.col("sender").alias("employee_id"),
         F.explode(F.array_distinct(words(F.col("message")))).alias("_word"),
     )
-    looked_up = found.join(word_table(vocab, marked), "_word", "left")
+    looked_up = found.join(listed, "_word", "left")
     known, hit = F.coalesce("_known", F.lit(False)), F.coalesce("_marked", F.lit(False))
-    verdict = looked_up.groupBy(*ids).agg(
-        F.bool_or(hit).alias("_any_marked"), F.bool_and(known).alias("_all_known")
+    verdict = (
+        looked_up.filter(hit | ~known)
+        .groupBy(*ids)
+        .agg(F.bool_or(hit).alias("_any_marked"), F.bool_and(known).alias("_all_known"))
     )
     return verdict.filter(F.col("_any_marked") & F.col("_all_known")).select(*ids)
 

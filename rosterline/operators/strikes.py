@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rosterline.functions.dates import instant
 from rosterline.functions.money import step_price
-from rosterline.functions.rows import differs
+from rosterline.functions.rows import differs, same
 from rosterline.operators.keyed import dedupe_max, exclude_ids
 from rosterline.schemas import STRIKE_CAP, STRIKE_STEPS, STRIKES
 
@@ -35,33 +35,40 @@ def trailing_flag_count(flags: DataFrame, days: int = FLAG_DAYS) -> DataFrame:
 
     The same as a RANGE window per employee, in two levels so that a hot employee
     spreads over days. Each flag adds one at its time and takes it away just after it
-    has expired. Whole days are summed first and accumulated per employee (a few rows
-    per day); the window over single rows then runs within one employee and day.
+    has expired. Changes at one instant are summed first, which combines before the
+    exchange; whole days are accumulated per employee (a few rows per day), and the
+    window over instants runs within one employee and day.
     """
     tick = F.expr("INTERVAL 0.000001 SECOND")
-    life = F.make_dt_interval(F.lit(days))
-    added = flags.select("employee_id", "start_date", F.lit(1).alias("_delta"), F.lit(True).alias("_flag"))
-    expired = flags.select(
-        "employee_id",
-        (F.col("start_date") + life + tick).alias("start_date"),
-        F.lit(-1).alias("_delta"),
-        F.lit(False).alias("_flag"),
+    expiry = F.col("start_date") + F.make_dt_interval(F.lit(days)) + tick
+    change = F.array(
+        F.struct(F.col("start_date").alias("at"), F.lit(1).alias("by")),
+        F.struct(expiry.alias("at"), F.lit(-1).alias("by")),
     )
-    steps = added.unionByName(expired).withColumn("_day", F.to_date("start_date"))
-
-    per_day = steps.groupBy("employee_id", "_day").agg(F.sum("_delta").alias("_net"))
-    before = Window.partitionBy("employee_id").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    steps = (
+        flags.select("employee_id", F.explode(change).alias("change"))
+        .groupBy("employee_id", F.col("change.at").alias("at"))
+        .agg(F.sum("change.by").alias("net"), F.bool_or(F.col("change.by") > 0).alias("flagged"))
+        .withColumn("day", F.to_date("at"))
+    )
+    within = Window.partitionBy("employee_id", "day").orderBy("at")
+    inside = steps.withColumn("inside", F.sum("net").over(within))
+    per_day = steps.groupBy("employee_id", "day").agg(F.sum("net").alias("net"))
+    before = Window.partitionBy("employee_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
     opening = per_day.select(
-        F.col("employee_id").alias("_emp"),
-        F.col("_day").alias("_on"),
-        F.coalesce(F.sum("_net").over(before), F.lit(0)).alias("_open"),
+        "employee_id", "day", F.coalesce(F.sum("net").over(before), F.lit(0)).alias("open")
+    )
+    counted = (
+        inside.filter("flagged")
+        .alias("i")
+        .join(opening.alias("o"), same("i", "o", ["employee_id", "day"]))
+        .select("i.employee_id", F.col("i.at").alias("start_date"), (F.col("open") + F.col("inside")).alias("strike_count"))
+    )
+    # One row per flag again; a hot instant is split like any hot key of a join.
+    keyed = flags.select("employee_id", "start_date").alias("f")
+    return keyed.join(counted.alias("c"), same("f", "c", ["employee_id", "start_date"])).select(
+        "f.employee_id", "f.start_date", "c.strike_count"
     )
-    # Ordered without a ROWS frame, so flags at the same instant count each other.
-    within = Window.partitionBy("employee_id", "_day").orderBy("start_date")
-    counted = steps.withColumn("_inside", F.sum("_delta").over(within)).filter("_flag")
-    return counted.join(
-        opening, F.col("employee_id").eqNullSafe(F.col("_emp")) & (F.col("_day") == F.col("_on"))
-    ).select("employee_id", "start_date", (F.col("_open") + F.col("_inside")).alias("strike_count"))
 
 
 def _capped(count: str) -> Column:
@@ -162,3 +169,16 @@ def strike_updates(strikes: DataFrame, counts: DataFrame, incremental: bool = Fa
         .filter(changed)
         .select("new.*")
     )
+
+
+def strike_decay(strike_rows: DataFrame, flags: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Strike rows that change because flags have expired.
+
+    The stream only looks at employees it has just flagged; run over all of them,
+    employees without a recent flag fall back to zero strikes.
+    """
+    counts = rolling_flag_count(flags, as_of)
+    quiet = exclude_ids(strike_rows, counts, "employee_id").select(
+        "employee_id", F.lit(0).cast("bigint").alias("strike_count")
+    )
+    return strike_updates(strike_rows, counts.unionByName(quiet))

@@ -104,9 +104,10 @@ def timeline_build(
 ) -> DataFrame:
     """Timeline of a raw load, without struck-out employees.
 
-    Every end becomes the next start; with `keep_ends` only open ends do. The dedupe comes first: it combines map-side and leaves at most one row per
-    (start day, end day) of an employee, which bounds the chain window and keeps a
-    hot employee from reaching the anti join at full size.
+    Every end becomes the next start; with `keep_ends` only open ends do. The dedupe comes
+    first: it combines map-side and leaves at most one row per (start day, end day) of an
+    employee, which keeps a hot employee from reaching the anti join at full size. The
+    chain runs per start day, so a window holds one row per end day at most.
     """
     dated = epoch_to_dates(raw, [START, END])
     return timeline_from_dates(dated, struck, id_col, keep_ends)
@@ -120,7 +121,7 @@ def timeline_from_dates(
     kept = exclude_ids(best, struck, EMP, id_col)
     ties = [SALARY, *others(kept, [EMP, START, SALARY])]
     link = fill_open_end if keep_ends else chain_intervals
-    return interval_status(link(kept, EMP, START, END, ties))
+    return interval_status(link(kept, EMP, START, END, ties, F.col(START)))
 
 
 def rebuild_chain(rows: DataFrame) -> DataFrame:
@@ -130,14 +131,15 @@ def rebuild_chain(rows: DataFrame) -> DataFrame:
     others would all become the same zero-length interval, of which the best paid
     stays. So two rows per (employee, start day) decide the result, and Spark limits
     to those two before the exchange. That bounds the window over an employee by
-    twice the calendar days.
+    twice the calendar days. Rows without a start have no day; of those the best paid
+    stays too.
     """
     ties = [SALARY, *others(rows, [EMP, START, END, STATUS, SALARY])]
     ranked = Window.partitionBy(EMP, START).orderBy(*[F.col(c).desc() for c in [*ties, END]])
     top = rows.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= 2)
     by_start = Window.partitionBy(EMP).orderBy(F.col(START), F.col("_rank").desc())
     chained = top.withColumn(END, F.lead(START).over(by_start)).drop("_rank")
-    return interval_status(chained).select(*rows.columns)
+    return dedupe_max(interval_status(chained).select(*rows.columns), [EMP, START, END], SALARY)
 
 
 def fresh_rows(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ second time. A job without input returns False and writes nothing.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +34,8 @@ def load_employees(
         return False
     keys = ["emp_id", "name", "age"]
     clean = cleaning.stamp_load_date(cleaning.clean_required(raw, keys, ["age"], keys), as_of)
-    by = ["year", "month", "day"]
-    sinks.overwrite_partitions(clean, table, by)
     day = {"year": f"{as_of:%Y}", "month": f"{as_of:%m}", "day": f"{as_of:%d}"}
-    path = "/".join([table.rstrip("/"), *[f"{name}={value}" for name, value in day.items()]])
+    path = sinks.replace_partition(clean, table, day)
     sink(files.read_or_empty(spark, path, schemas.EMPLOYEE).select(*keys))
     return True
 
@@ -108,8 +106,9 @@ def refresh_leaves(
 ) -> bool:
     """Add leave files to the record table and settle the months they touch again.
 
-    Records are kept as they came in, partitioned by month and load day; loading a
-    day again replaces it. Only touched months are read and rewritten.
+    Records are kept as they came in, by load day and month; loading a day again
+    replaces the day's directory. The months that it held before or holds now are
+    settled again and replaced, also those left without rows; others are not read.
     """
     raw = files.read_csv(spark, source, schemas.LEAVE_RAW)
     if raw.isEmpty():
@@ -117,14 +116,29 @@ def refresh_leaves(
     typed = raw.withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
     kept = leaves.with_ingest(leaves.leave_events(typed, calendar, timeline_rows), as_of)
     dated = kept.withColumns({"year": F.year("date"), "month": F.month("date")})
-    sinks.overwrite_partitions(dated, events, ["year", "month", "ingest_date"])
+    day, months = f"{as_of:%Y-%m-%d}", ["year", "month"]
 
-    months = ["year", "month"]
+    def months_of(df: DataFrame) -> set[tuple[int, int]]:
+        """The months of some records: a row per calendar month."""
+        return {(r.year, r.month) for r in df.select(*months).distinct().collect()}
+
+    stored = files.read_or_empty(spark, events, schemas.LEAVE_LEDGER)
+    before = months_of(stored.filter(F.col("ingest_date") == day))
+    sinks.replace_partition(dated, events, {"ingest_date": day}, months)
     stored = files.read_or_empty(spark, events, schemas.LEAVE_LEDGER)
-    loaded = stored.filter(F.col("ingest_date") == f"{as_of:%Y-%m-%d}").select(*months).distinct()
-    records = stored.join(loaded, months, "left_semi").select(*schemas.LEAVE_EVENT.fieldNames())
-    settled = leaves.settle(records).withColumns({"year": F.year("date"), "month": F.month("date")})
-    sinks.overwrite_partitions(settled, ledger, months)
+    touched = before | months_of(stored.filter(F.col("ingest_date") == day))
+    if touched:
+        within = F.concat_ws("-", *months).isin(*[f"{year}-{month}" for year, month in touched])
+        pruned = F.col("year").isin(*{year for year, _ in touched}) & within
+        records = stored.filter(pruned).select(*schemas.LEAVE_EVENT.fieldNames())
+        settled = leaves.settle(records).withColumns({"year": F.year("date"), "month": F.month("date")})
+        sinks.overwrite_partitions(settled, ledger, months)
+        for year, month in touched - months_of(stored.filter(pruned)):
+            sinks.replace_partition(
+                spark.createDataFrame([], schemas.LEAVE_LEDGER),
+                ledger,
+                {"year": str(year), "month": str(month)},
+            )
     sink(files.read_or_empty(spark, ledger, schemas.LEAVE_LEDGER))
     return True
 
@@ -166,8 +180,8 @@ def report_quota(
 ) -> None:
     """Employees above the quota threshold; an alert text for those not alerted before.
 
-    Tracking keeps one directory per run date: a repeated run looks at the other
-    dates only and writes its own again.
+    Texts and tracking have one directory per run date. A run looks at earlier dates
+    only; repeating it replaces its own directories, also with nothing.
     """
     day = f"{run_date:%Y-%m-%d}"
     flagged = reports.quota_alerts(reports.quota_usage(ledger, quota, year, before_month), threshold)
@@ -177,7 +191,7 @@ def report_quota(
     tracked = T.StructType([*schemas.ALERTED.fields, T.StructField("run_date", T.StringType())])
     already = files.read_or_empty(spark, tracking, tracked).filter(F.col("run_date") < day)
     fresh = reports.new_alerts(stored, already)
-    sinks.write_alerts(reports.alert_text(fresh, run_date), texts)
+    sinks.write_alerts(reports.alert_text(fresh, run_date), texts, day)
     ids = fresh.select(F.col("emp_id").cast("bigint").alias("emp_id")).distinct()
     ids.write.mode("overwrite").parquet(f"{tracking.rstrip('/')}/run_date={day}")
 
@@ -195,18 +209,55 @@ def sync_strikes(
         current = spark.createDataFrame([], schemas.STRIKES)
     else:
         current = spark.read.schema(schemas.STRIKES).parquet(f"{root}/version={previous}")
-    updates = strikes.sync_salaries(timeline_rows, current)
+    updates = sinks.stage(strikes.sync_salaries(timeline_rows, current), f"{root}/_staging/updates")
     sink(sinks.write_version(keyed.upsert_on_key(current, updates, "employee_id"), root, version))
 
 
-def strike_decay(strike_rows: DataFrame, flags: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Strike rows that change because flags have expired.
+def merge_into_target(
+    spark: SparkSession,
+    staging: DataFrame,
+    root: str,
+    version: str,
+    previous: str | None,
+    keys: Sequence[str] = ("emp_id", "start_date", "end_date"),
+    by: Sequence[str] = ("status",),
+    sink: Sink = _no_sink,
+) -> None:
+    """Merge rows into the last version of a target, as a new version.
 
-    The stream only looks at employees it has just flagged; run over all of them,
-    employees without a recent flag fall back to zero strikes.
+    Per column the new value counts, and the stored one where the new one is NULL. Both
+    sides are used twice, so the new rows are staged.
     """
-    counts = strikes.rolling_flag_count(flags, as_of)
-    quiet = keyed.exclude_ids(strike_rows, counts, "employee_id").select(
-        "employee_id", F.lit(0).cast("bigint").alias("strike_count")
-    )
-    return strikes.strike_updates(strike_rows, counts.unionByName(quiet))
+    rows = keyed.distinct_rows(staging, list(keys))
+    if previous is not None:
+        target = spark.read.schema(staging.schema).parquet(f"{root}/version={previous}")
+        staged = sinks.stage(rows, f"{root}/_staging/merge")
+        rows = keyed.merge_first_non_null(staged, target, list(keys)).select(*staging.columns)
+    sink(sinks.write_version(rows, root, version, list(by)))
+
+
+def merge_headcount(
+    spark: SparkSession,
+    timeline_rows: DataFrame,
+    root: str,
+    version: str,
+    previous: str | None,
+    sink: Sink = _no_sink,
+) -> None:
+    """Bring headcounts into a table with one row per designation, as a new version."""
+    heads = reports.active_by_group(timeline_rows)
+    merge_into_target(spark, heads, root, version, previous, ["designation"], (), sink)
+
+
+def close_struck_out(
+    spark: SparkSession,
+    struck: DataFrame,
+    root: str,
+    version: str,
+    previous: str,
+    as_of: dt.date,
+    sink: Sink = _no_sink,
+) -> None:
+    """Close the timeline rows of employees that a strike batch has struck out."""
+    rows = spark.read.schema(schemas.TIMELINE).parquet(f"{root}/version={previous}")
+    sink(sinks.write_version(timeline.deactivate_ids(rows, struck, as_of), root, version, ["status"]))

@@ -27,6 +27,29 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_folder: str | None = None
+
+
+def use_local_folder(path: str) -> None:
+    """Name the folder that sessions without a cluster stage intermediate tables in."""
+    global _local_folder
+    _local_folder = path
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that all executors see: `spark.checkpoint.dir`.
+
+    Only where every task runs in the driver's process may it be one that
+    `use_local_folder` has named.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and spark.sparkContext.master.startswith("local["):
+        folder = _local_folder
+    if not folder:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder.rstrip("/")
+
+
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     """Create (or fetch) a configured session; `settings` use `__` for dots."""
     builder = (

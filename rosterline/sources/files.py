@@ -18,11 +18,6 @@ def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table from its root, so partition columns stay and filters on them prune."""
-    return spark.read.parquet(path)
-
-
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Parquet table, or no rows when it has not been written yet.
 

@@ -37,19 +37,28 @@ def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
+def partition_path(root: str, values: dict[str, str]) -> str:
+    """The directory of a partition."""
+    return "/".join([root.rstrip("/"), *[f"{name}={value}" for name, value in values.items()]])
+
+
+def replace_partition(df: DataFrame, root: str, values: dict[str, str], by: Sequence[str] = ()) -> str:
+    """Replace one directory of a table whole, also when `df` has no rows for it.
+
+    `df` may hold the partition's columns; they are in the path. Returns the directory.
+    """
+    path = partition_path(root, values)
+    overwrite_parquet(df.drop(*values), path, by)
+    return path
+
+
 def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 
 
-def write_alerts(texts: DataFrame, path: str) -> None:
-    """Alert texts as text files, one directory per run date."""
-    (
-        texts.select("run_date", "value")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_date")
-        .text(path)
-    )
+def write_alerts(texts: DataFrame, path: str, run_date: str) -> None:
+    """Alert texts of a run as text files in a directory of its date, which is replaced whole."""
+    texts.select("value").write.mode("overwrite").text(partition_path(path, {"run_date": run_date}))
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:

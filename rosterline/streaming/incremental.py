@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from rosterline.operators.keyed import distinct_rows, new_rows_only
+from rosterline.sources.files import read_or_empty
+
 
 def incremental_csv(
     spark: SparkSession,
@@ -23,7 +27,8 @@ def incremental_csv(
 
     The checkpoint remembers which files are done. With `archive`, done files are
     moved there by a later run, once their batch is committed. The sink should write
-    by batch id, since a batch may be repeated after a failure.
+    by batch id, since a batch may be repeated after a failure, and must not depend on
+    which files share a batch: `distinct_sink` is such a sink.
     """
     reader = spark.readStream.schema(schema).option("header", header)
     if max_files is not None:
@@ -37,3 +42,24 @@ def incremental_csv(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def distinct_sink(
+    table: str, schema: T.StructType, keys: list[str], clean: Callable[[DataFrame], DataFrame]
+) -> Callable[[DataFrame, int], None]:
+    """A sink that adds the cleaned rows whose key no earlier batch has brought.
+
+    So the table holds each key once, however files are dealt out to batches; where rows
+    of a key differ, the first batch wins and inside it the largest values. Each batch
+    replaces its own directory.
+    """
+    stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+
+    def sink(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        earlier = read_or_empty(spark, table, stored).filter(F.col("batch") < batch)
+        fresh = distinct_rows(clean(rows).select(*schema.fieldNames()), keys)
+        added = new_rows_only(fresh, earlier.select(*keys), keys)
+        added.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch={batch}")
+
+    return sink

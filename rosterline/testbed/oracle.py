@@ -9,7 +9,7 @@ from __future__ import annotations
 from rosterline.schemas import STRIKE_STEPS
 
 STEPS = ", ".join(STRIKE_STEPS)
-MIDDLE, NOW = "TIMESTAMP '2024-01-16'", "TIMESTAMP '2024-01-31'"
+MIDDLE, NOW = "TIMESTAMP '2024-01-16'", "TIMESTAMP '2024-02-10'"
 
 
 def _with(body: str, **parts: str) -> str:
@@ -41,9 +41,15 @@ HOLIDAYS = (
     "SELECT CAST(ts AS DATE) AS date FROM events GROUP BY 1"
     " HAVING count(*) FILTER (event_type = 'signup') > count(*) FILTER (event_type = 'purchase') * 1.1"
 )
-CLICKS = (
-    "SELECT user_id AS emp_id, CAST(ts AS DATE) AS date, year(ts) AS year, month(ts) AS month"
-    " FROM events WHERE event_type = 'click'"
+BOOKINGS = (
+    "SELECT o_custkey AS emp_id, CAST(o_orderdate AS DATE) AS date,"
+    " CASE WHEN o_orderstatus = 'P' THEN 'CANCELLED' ELSE 'ACTIVE' END AS status,"
+    " year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders"
+)
+CLOSED = "SELECT CAST(o_orderdate AS DATE) AS date FROM orders GROUP BY 1 HAVING count(*) % 3 = 0"
+QUOTA = (
+    "SELECT c_custkey AS emp_id, c_nationkey AS leave_quota, 1998 AS year FROM customer"
+    " UNION ALL SELECT c_custkey, c_nationkey + 1, 1999 FROM customer"
 )
 MESSAGES = (
     "SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS sender, role AS receiver, text AS message"
@@ -56,14 +62,8 @@ def _words(text: str) -> str:
 
 
 WORDS = {
-    "marked": (
-        f"SELECT word FROM (SELECT DISTINCT item_id, {_words('text')} AS word FROM benchmark)"
-        " WHERE length(word) >= 3 GROUP BY word HAVING count(*) * 10 >= (SELECT count(*) FROM benchmark)"
-    ),
-    "vocab": (
-        f"SELECT DISTINCT {_words('text')} AS word FROM documents WHERE lang = 'en'"
-        " UNION SELECT word FROM marked"
-    ),
+    "marked": f"SELECT DISTINCT {_words('text')} AS word FROM benchmark",
+    "vocab": f"SELECT DISTINCT {_words('text')} AS word FROM documents",
     "flagged": (
         "SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS employee_id"
         f" FROM (SELECT conv_id, turn, {_words('text')} AS word FROM conversations)"
@@ -77,6 +77,19 @@ FLAGS = (
 )
 
 
+PEOPLE = (
+    "SELECT c_name AS name, c_nationkey + 18 AS age, c_custkey AS emp_id, c_acctbal AS balance FROM customer"
+)
+
+
+def _frame(loads: str) -> str:
+    return (
+        "SELECT CAST(o_custkey AS VARCHAR) AS emp_id, o_orderpriority AS designation,"
+        " CAST(epoch(CAST(o_orderdate AS DATE)) AS DOUBLE) AS start_date, o_totalprice AS salary"
+        f" FROM orders WHERE o_orderstatus IN ({loads})"
+    )
+
+
 # ---- timelines ----
 
 
@@ -170,14 +183,16 @@ LEDGER = {
     ),
 }
 USAGE = {
-    "clicks": CLICKS,
+    "bookings": BOOKINGS,
+    "quota": QUOTA,
     "taken": (
-        "SELECT emp_id, count(*) AS leaves_taken FROM clicks WHERE year = 2024 AND month < 2 GROUP BY emp_id"
+        "SELECT emp_id, count(*) AS leaves_taken FROM bookings"
+        " WHERE year = 1998 AND month < 7 AND status = 'ACTIVE' GROUP BY emp_id"
     ),
     "usage": (
-        "SELECT emp_id, leaves_taken, c_nationkey AS leave_quota,"
-        " round(leaves_taken / nullif(c_nationkey, 0) * 100, 2) AS leave_percent"
-        " FROM taken LEFT JOIN customer ON emp_id = c_custkey"
+        "SELECT t.emp_id, leaves_taken, leave_quota,"
+        " round(leaves_taken / nullif(leave_quota, 0) * 100, 2) AS leave_percent"
+        " FROM taken t LEFT JOIN quota q ON t.emp_id = q.emp_id AND year = 1998"
     ),
     "struck": STRUCK,
     "alerts": "SELECT * FROM usage WHERE leave_percent > 80",
@@ -187,23 +202,24 @@ USAGE = {
 
 def _spine(first: str, last: str) -> str:
     return (
-        f"SELECT CAST(day AS DATE) AS date FROM generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)"
+        f"SELECT CAST(day AS DATE) AS date FROM generate_series({first}, {last}, INTERVAL 1 DAY)"
         " AS days(day) WHERE isodow(day) < 6"
     )
 
 
-def _upcoming(last_day: str) -> dict[str, str]:
+def _upcoming(last_day: str, statuses: str) -> dict[str, str]:
     return {
-        "clicks": CLICKS,
-        "holidays": HOLIDAYS,
+        "bookings": BOOKINGS,
+        "closed": CLOSED,
         "days": (
-            f"SELECT date FROM ({_spine('2024-01-10', '2024-01-31')})"
-            " WHERE date NOT IN (SELECT date FROM holidays)"
+            f"SELECT date FROM ({_spine("DATE '1998-03-02'", "DATE '1998-09-30'")})"
+            " WHERE date NOT IN (SELECT date FROM closed)"
         ),
         "booked": (
             "SELECT emp_id, count(DISTINCT date) AS upcoming_leaves_count,"
-            " count(DISTINCT date) / (SELECT count(*) FROM days) * 100 AS leave_percent FROM clicks"
-            f" WHERE date IN (SELECT date FROM days) AND date {last_day} DATE '2024-01-31' GROUP BY emp_id"
+            " count(DISTINCT date) / (SELECT count(*) FROM days) * 100 AS leave_percent FROM bookings"
+            f" WHERE date IN (SELECT date FROM days) AND date {last_day} DATE '1998-09-30'"
+            f" AND status IN ({statuses}) GROUP BY emp_id"
         ),
     }
 
@@ -283,7 +299,11 @@ BATCH = {
 }
 STREAMED = {
     **WORDS,
-    "counts": "SELECT employee_id, count(*) AS strike_count FROM flagged GROUP BY employee_id",
+    "counts": (
+        "SELECT employee_id, count(*) AS strike_count FROM flagged"
+        " WHERE TIMESTAMP '2023-12-20' + to_days(CAST((conv_id * 7 + turn * 13) % 60 AS INTEGER))"
+        f" >= {NOW} - INTERVAL 30 DAYS GROUP BY employee_id"
+    ),
     "unstruck": UNSTRUCK,
     "relisted": _ladder("unstruck", "counts"),
 }
@@ -310,7 +330,7 @@ ORACLE = {
         " CAST(year(o_orderdate) AS INTEGER) AS year FROM orders"
     ),
     "clean_quota": (
-        "SELECT DISTINCT c_custkey AS emp_id, c_nationkey AS leave_quota, 2024 AS year FROM customer"
+        f"SELECT DISTINCT * FROM ({QUOTA})"
     ),
     "epoch_to_dates": "SELECT event_id, CAST(ts AS DATE) AS day FROM events",
     "dedupe_max": _with(
@@ -441,13 +461,16 @@ ORACLE = {
         **USAGE,
     ),
     "working_days": (
-        f"SELECT date FROM ({_spine('1995-01-01', '2001-12-31')}) WHERE date NOT IN"
-        " (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_totalprice > 499000)"
+        "SELECT date FROM ("
+        + _spine(
+            "(SELECT min(CAST(o_orderdate AS DATE)) FROM orders)", "(SELECT max(CAST(o_orderdate AS DATE)) FROM orders)"
+        )
+        + f") WHERE date NOT IN (SELECT date FROM ({CLOSED}))"
     ),
-    "upcoming_leave_counts": _with("SELECT * FROM booked", **_upcoming("<=")),
+    "upcoming_leave_counts": _with("SELECT * FROM booked", **_upcoming("<=", "'ACTIVE'")),
     "upcoming_leave_alerts": _with(
-        "SELECT emp_id, upcoming_leaves_count, '2024-01-10' AS run_date FROM booked WHERE leave_percent > 30",
-        **_upcoming("<"),
+        "SELECT emp_id, upcoming_leaves_count, '1998-03-02' AS run_date FROM booked WHERE leave_percent > 1.5",
+        **_upcoming("<", "'ACTIVE', 'CANCELLED'"),
     ),
     "parse_messages": MESSAGES,
     "flag_messages": _with("SELECT * FROM flagged", **WORDS),
@@ -493,8 +516,58 @@ ORACLE = {
         **STREAMED,
     ),
     "load_csv_once": f"SELECT DISTINCT * FROM ({EMPLOYEES}) WHERE balance > 0",
+    "csv_with_schema": f"SELECT name, age, emp_id FROM ({PEOPLE})",
+    "csv_without_header": (
+        "SELECT DISTINCT o_orderpriority AS reason, CAST(o_orderdate AS DATE) AS date,"
+        " CAST(year(o_orderdate) AS INTEGER) AS year FROM orders"
+    ),
+    "csv_strings": (
+        "SELECT name, CAST(age AS VARCHAR) AS age, CAST(emp_id AS VARCHAR) AS emp_id,"
+        f" CAST(balance AS VARCHAR) AS balance FROM ({PEOPLE})"
+    ),
+    "csv_append": f"{_frame("'F', 'O'")} UNION ALL {_frame("'O', 'P'")}",
+    "word_files": r"SELECT DISTINCT unnest(regexp_extract_all(text, '[\p{L}\p{N}_]+')) AS word FROM benchmark",
+    "read_or_default": f"SELECT CAST(emp_id AS VARCHAR) AS employee_id FROM ({STRUCK})",
+    "append_partitioned": f"SELECT CAST(emp_id AS INTEGER) AS emp_id, leave_quota, year FROM ({QUOTA})",
+    "append_batches": (
+        "SELECT o_custkey AS emp_id, o_orderpriority AS designation,"
+        " CAST(epoch(CAST(o_orderdate AS DATE)) AS DOUBLE) AS start_date, CAST(NULL AS DOUBLE) AS end_date,"
+        " o_totalprice AS salary FROM orders"
+    ),
+    "overwrite_dates": (
+        "SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events"
+        " WHERE day(ts) % 10 % 2 = 1 OR event_type = 'click'"
+        " OR CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'click')"
+    ),
+    "overwrite_table": f"SELECT * FROM ({EMPLOYEES}) WHERE balance > 0",
+    "input_files": "SELECT c_custkey, c_nationkey AS nation FROM customer",
+    "reload_employees": (
+        f"SELECT emp_id, name, age, 2 AS load_day FROM ({PEOPLE})"
+        f" UNION ALL SELECT emp_id, name, age, 1 FROM ({PEOPLE}) WHERE balance > 0"
+    ),
+    "reload_leaves": _with(
+        "SELECT emp_id, date, status, '2024-05-01' AS ingest_date, year, month FROM"
+        " (SELECT emp_id, date, CASE WHEN count(*) FILTER (status = 'CANCELLED') >="
+        " count(*) FILTER (status = 'ACTIVE') THEN 'CANCELLED' ELSE 'ACTIVE' END AS status,"
+        " CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month"
+        " FROM bookings WHERE isodow(date) < 6 AND date NOT IN (SELECT date FROM closed) AND year(date) < 1998"
+        " GROUP BY emp_id, date)",
+        bookings=BOOKINGS,
+        closed=CLOSED,
+    ),
+    "merge_headcount": _with(
+        "SELECT coalesce(s.designation, t.designation) AS designation,"
+        " coalesce(s.active_employees, t.active_employees) AS active_employees FROM ("
+        "SELECT designation, count(*) FILTER (status = 'ACTIVE') AS active_employees FROM second_load"
+        " WHERE designation <> '1-URGENT' GROUP BY designation) s FULL JOIN ("
+        "SELECT designation, count(*) FILTER (status = 'ACTIVE') AS active_employees FROM first_load"
+        " GROUP BY designation) t ON s.designation = t.designation",
+        **{**FIRST, **SECOND},
+    ),
+    "empty_input": f"SELECT emp_id, name, age FROM ({PEOPLE})",
+    "encoded_and_parsed": f"SELECT sender, receiver, message FROM ({MESSAGES})",
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | {"merge_into_target": ORACLE["merge_first_non_null"]}

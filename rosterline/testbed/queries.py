@@ -12,8 +12,8 @@ from rosterline.functions.dates import SECONDS_PER_DAY
 from rosterline.operators import cleaning, keyed, leaves, messages, reports, strikes, timeline
 from rosterline.session import configure
 from rosterline.sources.sinks import stage
-from rosterline.streaming.incremental import incremental_csv
 from rosterline.streaming.strike_stream import StrikeState, start_strike_stream, strike_batch
+from rosterline.testbed import roundtrips
 from rosterline.testbed import tables as t
 
 LOAD_DAY = dt.date(2024, 5, 1)
@@ -110,10 +110,7 @@ def timeline_build_keep_ends(spark, sf):
 
 
 def timeline_merge(spark, sf):
-    folder = t.scratch(spark)
-    existing = stage(t.timeline(spark, sf, t.FIRST_LOAD), f"{folder}/existing")
-    load = stage(t.timeline(spark, sf, t.SECOND_LOAD), f"{folder}/load")
-    return timeline.merge_fresh(existing, stage(timeline.fresh_rows(existing, load), f"{folder}/fresh"))
+    return timeline.timeline_merge(t.timeline(spark, sf, t.FIRST_LOAD), t.timeline(spark, sf, t.SECOND_LOAD))
 
 
 def deactivate_ids(spark, sf):
@@ -125,7 +122,10 @@ def merge_first_non_null(spark, sf):
     specified = F.when(F.col("designation") != "4-NOT SPECIFIED", F.col("designation"))
     staging = t.timeline(spark, sf, t.SECOND_LOAD).withColumn("designation", specified)
     target = t.timeline(spark, sf, t.FIRST_LOAD)
-    return keyed.merge_first_non_null(staging, target, ["emp_id", "start_date", "end_date"])
+    folder = t.scratch(spark)  # both sides are used twice
+    return keyed.merge_first_non_null(
+        stage(staging, f"{folder}/staging"), stage(target, f"{folder}/target"), ["emp_id", "start_date", "end_date"]
+    )
 
 
 def upsert_on_key(spark, sf):
@@ -177,7 +177,7 @@ def active_by_group(spark, sf):
 
 
 def quota_usage(spark, sf):
-    return reports.quota_usage(t.clicks(spark, sf), t.quota(spark, sf), 2024, 2)
+    return reports.quota_usage(t.bookings(spark, sf), t.quota(spark, sf), t.LEAVE_YEAR, t.BEFORE_MONTH)
 
 
 def quota_alerts(spark, sf):
@@ -201,17 +201,17 @@ def alert_text(spark, sf):
 
 
 def working_days(spark, sf):
-    busy = t.table(spark, sf, "orders").filter(F.col("o_totalprice") > 499_000)
-    calendar = busy.select(F.col("o_orderdate").alias("date"))
-    return reports.working_days(spark, dt.date(1995, 1, 1), dt.date(2001, 12, 31), calendar)
+    day = F.to_date("o_orderdate")
+    first, last = t.table(spark, sf, "orders").agg(F.min(day), F.max(day)).first()
+    return reports.working_days(spark, first, last, t.closed_days(spark, sf))
 
 
 def upcoming_leave_counts(spark, sf):
     return reports.upcoming_leave_counts(
-        t.clicks(spark, sf),
-        t.holidays(spark, sf),
-        dt.date(2024, 1, 10),
-        dt.date(2024, 1, 31),
+        t.bookings(spark, sf),
+        t.closed_days(spark, sf),
+        t.LEAVE_FROM,
+        t.LEAVE_UNTIL,
         end_inclusive=True,
         statuses=["ACTIVE"],
     )
@@ -219,7 +219,7 @@ def upcoming_leave_counts(spark, sf):
 
 def upcoming_leave_alerts(spark, sf):
     return reports.upcoming_leave_alerts(
-        t.clicks(spark, sf), t.holidays(spark, sf), dt.date(2024, 1, 10), 30, dt.date(2024, 1, 31)
+        t.bookings(spark, sf), t.closed_days(spark, sf), t.LEAVE_FROM, 1.5, t.LEAVE_UNTIL
     )
 
 
@@ -287,52 +287,34 @@ def strike_batch_update(spark, sf):
 
 
 def strike_stream(spark, sf):
-    """Conversations as a stream: strike rows after all messages have been processed."""
+    """Conversations as a stream of several files, with the state compacted on the way.
+
+    Messages are dated over sixty days, so a third of the flags has expired.
+    """
     folder = t.scratch(spark)
-    state = StrikeState(f"{folder}/state")
+    state = StrikeState(f"{folder}/state", compact_every=2)
     state.seed(spark, t.unstruck(spark, sf))
-    source = spark.readStream.schema(t.table(spark, sf, "conversations").schema)
-    stream = source.option("pathGlobFilter", "conversations.parquet").parquet(sf)
-    value = F.to_json(
-        F.struct(
-            F.col("conv_id").cast("string").alias("sender"),
-            F.col("role").alias("receiver"),
-            F.col("text").alias("message"),
-        )
-    )
+    days = F.make_dt_interval(((F.col("conv_id") * 7 + F.col("turn") * 13) % 60).cast("int"))
+    at = (F.lit("2023-12-20").cast("timestamp_ntz") + days).cast("timestamp")
+    sent = t.json_messages(spark, sf).withColumn("at", at)
+    for part in range(5):
+        sent.filter(F.col("turn") % 5 == part).coalesce(1).write.mode("append").parquet(f"{folder}/sent")
+    source = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/sent")
     query = start_strike_stream(
-        stream.select("conv_id", "turn", value.cast("binary").alias("value")),
+        source,
         t.vocabulary(spark, sf),
         t.marked_words(spark, sf),
         state,
         f"{folder}/checkpoint",
         ["conv_id", "turn"],
         clock=lambda: t.AS_OF,
+        event_time="at",
         interval=None,
     )
     query.awaitTermination()
     return state.strikes_before(spark, query.lastProgress["batchId"] + 1)
 
 
-def load_csv_once(spark, sf):
-    """Customers written as raw CSV files, loaded file by file and cleaned."""
-    folder = t.scratch(spark)
-    t.employees(spark, sf).write.option("header", True).csv(f"{folder}/raw")
-
-    def sink(rows: DataFrame, batch: int) -> None:
-        cleaned = cleaning.clean_required(
-            rows, ["emp_id", "name", "balance"], ["balance"], ["emp_id", "name", "balance"]
-        )
-        cleaned.write.mode("overwrite").parquet(f"{folder}/clean/batch={batch}")
-
-    schema = t.employees(spark, sf).schema
-    for _ in range(2):  # the second run finds nothing new
-        incremental_csv(
-            spark, f"{folder}/raw", schema, sink, f"{folder}/checkpoint", max_files=4
-        ).awaitTermination()
-    return spark.read.schema(schema).parquet(f"{folder}/clean").select("emp_id", "name", "balance")
-
-
 ALL = [
     clean_required,
     stamp_load_date,
@@ -383,7 +365,7 @@ ALL = [
     strike_updates,
     strike_batch_update,
     strike_stream,
-    load_csv_once,
+    *roundtrips.ALL,
 ]
 
 

@@ -7,7 +7,6 @@ leave records and flags, conversations their messages.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,10 +17,15 @@ from rosterline.operators.keyed import dedupe_max
 from rosterline.operators.strikes import rolling_flag_count, strike_ladder_full
 from rosterline.operators.timeline import timeline_build
 from rosterline.schemas import STRIKE_STEPS
+from rosterline.session import shared_folder
 
 STRUCK_ON = dt.date(2002, 1, 1)
+# Flags lie in January 2024: at `AS_OF` those of the first days have expired.
 MID_JANUARY = dt.datetime(2024, 1, 16)
-AS_OF = dt.datetime(2024, 1, 31)
+AS_OF = dt.datetime(2024, 2, 10)
+# Orders run from 1995 to 2001: leave is looked at in the middle.
+LEAVE_YEAR, BEFORE_MONTH = 1998, 7
+LEAVE_FROM, LEAVE_UNTIL = dt.date(1998, 3, 2), dt.date(1998, 9, 30)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -29,11 +33,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared one, or a local one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/rosterline-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="rosterline-")
+    """A fresh folder below the one that all executors share."""
+    return f"{shared_folder(spark)}/rosterline-{uuid.uuid4().hex}"
 
 
 def employees(spark, sf):
@@ -122,16 +123,30 @@ def holidays(spark, sf):
     )
 
 
-def clicks(spark, sf):
-    """Clicks as settled leave, with the ledger's partition columns."""
-    return leaves(spark, sf, ["click"]).withColumns({"year": F.year("date"), "month": F.month("date")})
+def bookings(spark, sf):
+    """Orders as settled leave of several years, with the ledger's partition columns."""
+    day = F.to_date("o_orderdate")
+    return table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("emp_id"),
+        day.alias("date"),
+        F.when(F.col("o_orderstatus") == "P", "CANCELLED").otherwise("ACTIVE").alias("status"),
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+    )
+
+
+def closed_days(spark, sf):
+    """Days with a number of orders that three divides."""
+    days = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date"))
+    return days.agg(F.count(F.lit(1)).alias("n")).filter("n % 3 = 0").select("date")
 
 
 def quota(spark, sf):
+    """Quotas of two years; the second is larger by one."""
     return table(spark, sf, "customer").select(
         F.col("c_custkey").alias("emp_id"),
-        F.col("c_nationkey").alias("leave_quota"),
-        F.lit(2024).alias("year"),
+        F.explode(F.sequence(F.col("c_nationkey"), F.col("c_nationkey") + 1)).alias("leave_quota"),
+        (F.col("leave_quota") - F.col("c_nationkey") + LEAVE_YEAR).alias("year"),
     )
 
 
@@ -152,24 +167,15 @@ def json_messages(spark, sf):
 
 
 def marked_words(spark, sf):
-    """Words of three letters or more that occur in a tenth of the benchmark items."""
-    items = table(spark, sf, "benchmark")
-    total = items.agg(F.count(F.lit(1))).scalar()
-    return (
-        items.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-        .filter(F.length("word") >= 3)
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") * 10 >= total)
-        .select("word")
-    )
+    """Words of the benchmark items."""
+    found = table(spark, sf, "benchmark").select(F.explode(words(F.col("text"))).alias("word"))
+    return found.distinct()
 
 
 def vocabulary(spark, sf):
-    """Words of the English documents, and the marked words."""
-    english = table(spark, sf, "documents").filter(F.col("lang") == "en")
-    listed = english.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
-    return listed.unionByName(marked_words(spark, sf)).distinct()
+    """Words of the documents."""
+    found = table(spark, sf, "documents").select(F.explode(F.array_distinct(words(F.col("text")))).alias("word"))
+    return found.distinct()
 
 
 def flags(spark, sf):

@@ -23,6 +23,7 @@ SQL_TYPES = {
     "int": "INTEGER",
     "double": "DOUBLE",
     "string": "VARCHAR",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
@@ -61,7 +62,7 @@ def compare(spark, con, sf: str, name: str) -> str:
 def main() -> int:
     from rosterline.session import build_session
 
-    sf, names = sys.argv[1], sys.argv[2:] or list(contract.queries())
+    sf, names = sys.argv[1], sys.argv[2:] or list(contract.oracle_sql())
     spark = build_session("oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(sf), 0

@@ -3,6 +3,7 @@ import os
 
 from helpers import day, rows
 from rosterline import schemas
+from rosterline.operators.strikes import strike_decay
 from rosterline.plans import jobs
 from rosterline.sources import files
 
@@ -33,6 +34,88 @@ def test_load_employees(spark, folder):
     assert seen[-1] == []
 
 
+def test_a_corrected_load_replaces_the_day(spark, folder):
+    table, day_one = folder + "/employees", dt.date(2024, 5, 1)
+    put(folder + "/first", "a.csv", "name,age,emp_id", "ann,30,1", "bob,40,2")
+    put(folder + "/other", "a.csv", "name,age,emp_id", "cy,50,3")
+    put(folder + "/fewer", "a.csv", "name,age,emp_id", "bob,40,2")
+    put(folder + "/none", "a.csv", "name,age,emp_id", "bob,0,2")
+    jobs.load_employees(spark, folder + "/other", table, dt.date(2024, 4, 30))
+    for source, want in (("first", [(1,), (2,), (3,)]), ("fewer", [(2,), (3,)]), ("none", [(3,)])):
+        handed = []
+        jobs.load_employees(spark, f"{folder}/{source}", table, day_one, lambda df, to=handed: to.extend(rows(df, "emp_id")))
+        assert rows(spark.read.parquet(table), "emp_id") == want
+        assert sorted([*handed, (3,)]) == want
+
+
+def test_a_corrected_leave_load_withdraws_months(spark, folder):
+    calendar = spark.createDataFrame([], "date date")
+    timeline = spark.createDataFrame([(1, "ACTIVE")], "emp_id bigint, status string")
+    events, ledger, at = folder + "/events", folder + "/ledger", dt.datetime(2024, 4, 1, 7)
+    put(folder + "/d0", "a.csv", "emp_id,date,status", "1,2024-07-01,ACTIVE", "1,2024-06-03,ACTIVE")
+    jobs.refresh_leaves(spark, folder + "/d0", calendar, timeline, events, ledger, dt.datetime(2024, 3, 1, 7))
+    loads = {
+        "both": ["1,2024-05-02,ACTIVE", "1,2024-06-04,ACTIVE", "1,2024-06-03,CANCELLED"],
+        "may": ["1,2024-05-02,ACTIVE"],
+        "nobody": ["9,2024-05-02,ACTIVE"],
+    }
+    want = {
+        "both": [("2024-05-02", "ACTIVE"), ("2024-06-03", "CANCELLED"), ("2024-06-04", "ACTIVE"), ("2024-07-01", "ACTIVE")],
+        "may": [("2024-05-02", "ACTIVE"), ("2024-06-03", "ACTIVE"), ("2024-07-01", "ACTIVE")],
+        "nobody": [("2024-06-03", "ACTIVE"), ("2024-07-01", "ACTIVE")],
+    }
+    for name, lines in loads.items():
+        put(f"{folder}/{name}", "a.csv", "emp_id,date,status", *lines)
+        jobs.refresh_leaves(spark, f"{folder}/{name}", calendar, timeline, events, ledger, at)
+        stored = files.read_or_empty(spark, ledger, schemas.LEAVE_LEDGER)
+        assert [(str(d), s) for d, s in rows(stored, "date", "status")] == want[name]
+
+
+def test_a_corrected_quota_withdraws_texts(spark, folder):
+    leave = spark.createDataFrame([(1, "ACTIVE", 2024, 5)] * 9, "emp_id bigint, status string, year int, month int")
+    for quota in (10, 100):
+        jobs.report_quota(
+            spark,
+            leave,
+            spark.createDataFrame([(1, quota, 2024)], schemas.QUOTA),
+            *[f"{folder}/{name}" for name in ("usage", "tracking", "texts")],
+            2024,
+            12,
+            dt.date(2024, 5, 31),
+        )
+        texts = spark.read.text(f"{folder}/texts/run_date=2024-05-31").collect()
+        assert bool(texts) == (quota == 10)
+        assert spark.read.schema(schemas.ALERTED).parquet(f"{folder}/tracking").count() == (quota == 10)
+
+
+def test_targets_are_merged_as_versions(spark, folder):
+    def load(version, previous, *data):
+        rows_in = spark.createDataFrame(
+            [(e, d, day(s), None, p, "ACTIVE") for e, d, s, p in data], schemas.TIMELINE
+        )
+        jobs.merge_into_target(spark, rows_in, folder + "/target", version, previous)
+        return rows(
+            spark.read.schema(schemas.TIMELINE).parquet(f"{folder}/target/version={version}"),
+            "emp_id", "designation", "salary",
+        )
+
+    assert load("1", None, (1, "eng", "2024-01-01", 1.0), (2, "ops", "2024-01-01", 2.0)) == [(1, "eng", 1.0), (2, "ops", 2.0)]
+    got = load("2", "1", (1, None, "2024-01-01", 9.0), (3, "hr", "2024-01-01", 3.0))
+    assert got == [(1, "eng", 9.0), (2, "ops", 2.0), (3, "hr", 3.0)]
+
+
+def test_headcounts_are_merged_by_designation(spark, folder):
+    def load(version, previous, *designations):
+        timeline = spark.createDataFrame(
+            [(i, d, "ACTIVE") for i, d in enumerate(designations)], "emp_id bigint, designation string, status string"
+        )
+        jobs.merge_headcount(spark, timeline, folder + "/heads", version, previous)
+        return rows(spark.read.parquet(f"{folder}/heads/version={version}"), "designation", "active_employees")
+
+    assert load("1", None, "eng", "eng", "ops") == [("eng", 2), ("ops", 1)]
+    assert load("2", "1", "eng", "hr") == [("eng", 1), ("hr", 1), ("ops", 1)]
+
+
 def test_empty_input_is_skipped(spark, folder):
     put(folder + "/raw", "a.csv", "name,age,emp_id")
     assert not jobs.load_employees(spark, folder + "/raw", folder + "/t", dt.date(2024, 5, 1))
@@ -146,5 +229,5 @@ def test_strike_decay(spark, folder):
     flags = spark.createDataFrame(
         [("a", "2024-01-30"), ("b", "2023-01-01")], "employee_id string, start_date string"
     ).selectExpr("employee_id", "cast(start_date AS timestamp) AS start_date")
-    got = jobs.strike_decay(strikes, flags, dt.datetime(2024, 1, 31))
+    got = strike_decay(strikes, flags, dt.datetime(2024, 1, 31))
     assert rows(got) == [("a", 1000.0, 900.0, *[None] * 9, 1), ("b", 1000.0, *[None] * 10, 0)]

@@ -99,7 +99,22 @@ def test_chain_of_a_hot_employee_is_spread_over_days(spark, hot):
     df = hot.withColumn("end", F.lit(None).cast("date"))
     sliced = timeline.chain_intervals(df, "emp_id", "date", "end", ["line"], F.col("date"))
     assert rows(sliced) == rows(timeline.chain_intervals(df, "emp_id", "date", "end", ["line"]))
-    assert "windowspecdefinition(emp_id" in plan(sliced)
+    assert "windowspecdefinition(emp_id" in plan(sliced) and "_slice" in plan(sliced)
+
+
+def test_chain_with_given_ends_holds_one_day_in_a_window(spark):
+    """One employee, many ends on each start day: no window gets more than a day's rows."""
+    days = spark.range(0, 6000).select(
+        F.lit(1).cast("bigint").alias("emp_id"),
+        F.lit("eng").alias("designation"),
+        F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 200).cast("int")).alias("start_date"),
+        F.date_add(F.lit(dt.date(2021, 1, 1)), F.col("id").cast("int")).alias("end_date"),
+        F.col("id").cast("double").alias("salary"),
+    )
+    nobody = spark.createDataFrame([], "employee_id string")
+    built = timeline.timeline_from_dates(days, nobody)
+    assert built.count() == 6000 and built.filter("end_date IS NULL").count() == 1
+    assert "_slice" in plan(built)
 
 
 def test_trailing_count_of_a_hot_employee(spark, hot):

@@ -90,8 +90,10 @@ def test_csv_and_alert_sinks(spark, folder):
     sinks.append_csv(spark.createDataFrame([(2, "b")], "id int, v string"), folder + "/csv")
     assert rows(files.read_csv_strings(spark, folder + "/csv")) == [("1", "a"), ("2", "b")]
     texts = spark.createDataFrame([(1, "2024-05-01", "x\ny\n")], "emp_id int, run_date string, value string")
-    sinks.write_alerts(texts, folder + "/alerts")
+    sinks.write_alerts(texts, folder + "/alerts", "2024-05-01")
     assert [r.value for r in spark.read.text(folder + "/alerts/run_date=2024-05-01").collect()] == ["x", "y", ""]
+    sinks.write_alerts(texts.filter("false"), folder + "/alerts", "2024-05-01")
+    assert spark.read.text(folder + "/alerts/run_date=2024-05-01").isEmpty()
 
 
 def test_upsert_statement():

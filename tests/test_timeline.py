@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helpers import day, plan, rows
 from rosterline import schemas
 from rosterline.operators import timeline
+from rosterline.operators.cleaning import epoch_to_dates
 
 COLUMNS = ["emp_id", "designation", "start_date", "end_date", "salary", "status"]
 
@@ -223,7 +224,20 @@ def test_deactivate_changes_only_the_active_row_and_keeps_the_first_date(spark):
     assert rows(later, "emp_id", "end_date", "status") == sorted(want, key=repr)
 
 
-def test_build_needs_two_exchanges_besides_the_id_list(spark):
+def test_build_chains_by_day_in_four_exchanges_besides_the_id_list(spark):
     struck = spark.createDataFrame([("1",)], "employee_id string")
     text = plan(timeline.timeline_build(raw(spark, [(1, "a", "2024-01-01", None, 1.0)]), struck))
-    assert text.count("Exchange hashpartitioning(emp_id") == 2
+    assert text.count("Exchange hashpartitioning(emp_id") == 4 and "_slice" in text
+
+
+def test_rows_without_a_start_leave_one_active_row(spark):
+    data = [(1, d, None, None, p, "ACTIVE") for d, p in (("a", 1.0), ("b", 2.0), ("c", 3.0))]
+    merged = timeline.rebuild_chain(spark.createDataFrame(data, schemas.TIMELINE))
+    assert rows(merged, "designation", "status") == [("c", "ACTIVE")]
+
+
+def test_epochs_beyond_the_calendar_are_null(spark):
+    seconds = [1.7e18, -1.7e18, float("nan"), 0.0, 253402300799.0, 253402300800.0, None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(seconds)], "i int, s double")
+    got = dict(rows(epoch_to_dates(df, ["s"])))
+    assert {i: str(d) for i, d in got.items() if d} == {3: "1970-01-01", 4: "9999-12-31"}
