@@ -1,14 +1,19 @@
 """Near-duplicate documents: a Jaccard join on word shingles, filtered under several orders.
 
 If two sets are similar enough, their prefixes under any order of all shingles share a
-shingle. One order is looked up in an index: sets meet that share a shingle of that
-prefix. Before two texts are compared in full, their prefixes under each further order must
-meet as well. All orders put frequent shingles last, so a passage that many documents
-share brings few of them together.
+shingle. One order, rare shingles first, is looked up in an index: sets meet that share a
+shingle of that prefix. Before two texts are compared in full, their prefixes under each
+further order must meet as well.
+
+How rare a shingle is comes from all documents. They are cut into blocks; each block lists
+the distinct cells its shingles fall into (the leading bits of their hashes) with counts,
+the lists meet by range of cells, and each block gets back a level per cell. Two shingles
+in one cell only look more frequent than they are. A set of which too few shingles occur
+anywhere else has no partner and goes no further.
 
 Copies are one class from the start. What is asked for are components, so a shingle's sets
-are compared in two rounds: first each with a representative of its own length, then only
-those that the links found so far leave apart.
+are compared in rounds: first each with a hub, then those still apart with some others, and
+in the end with all that the links found so far leave apart.
 """
 
 from __future__ import annotations
@@ -17,18 +22,19 @@ from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import (
-    WordHashes,
     linked_components,
     mixed,
-    packed_texts,
     staged,
     text_key,
     unpacked,
     utf8,
+    word_hashes,
 )
 
 SHINGLE = 5
@@ -36,13 +42,14 @@ SHINGLE = 5
 THRESHOLD = 80
 # Seeds of the orders: the first is indexed, the others filter.
 ORDERS = (11, 12, 13)
-# A shingle in so many sets of one task counts as frequent there; of those, so many at most
-# are put last, the most frequent. This only steers which order is used.
-OFTEN, MOST_FREQUENT = 4, 1 << 17
+# Hubs that a family of similar sets is compared with first, and neighbours on either side
+# that those still apart are compared with then.
+HUBS, NEIGHBOURS = 16, 8
+# Leading bits of a hash that make its cell; shingles in a block; most ranges of cells.
+CELL_BITS, BLOCK_SHINGLES, MOST_RANGES = 40, 600_000, 8192
 
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_hashes = WordHashes()
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -58,8 +65,7 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """
     words = [text.lower().split() for text in texts]
     sizes = np.array([len(w) for w in words], np.int64)
-    flat = _hashes.of([x for w in words for x in w])
-    _hashes.trim()
+    flat = word_hashes(words)
     n = len(flat)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -75,32 +81,33 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     document = document[start]
     end = np.minimum(start + SHINGLE, ends[document])
     value = mixed((prefix[end] - prefix[start]) * undo[start] + (end - start).astype(np.uint64))
-    order = np.lexsort((value, document))
-    document, value = document[order], value[order]
-    new = np.ones(len(order), bool)
+    cuts = np.cumsum(np.bincount(document, minlength=len(sizes))).tolist()
+    for begin, stop in zip([0, *cuts], cuts, strict=False):
+        value[begin:stop].sort()
+    new = np.ones(len(value), bool)
     new[1:] = (document[1:] != document[:-1]) | (value[1:] != value[:-1])
     return document[new], value[new]
 
 
+def needed(a, b):
+    """Shingles that sets of sizes a and b must have in common to be similar."""
+    return -(-THRESHOLD * (a + b) // (100 + THRESHOLD))
+
+
 def prefix_size(n):
-    """Shingles in the prefix of a set of n: all but those a partner can do without."""
+    """Shingles in the prefix of a set of n: all but those a partner of any size can do without."""
     return n - -(-THRESHOLD * n // 100) + 1
 
 
-def prefixes(document: np.ndarray, value: np.ndarray, seed: int, frequent: np.ndarray) -> np.ndarray:
-    """Positions of the shingles in the prefix of their set under one order.
+def placed(document: np.ndarray, value: np.ndarray, seed: int, level: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Shingles in order of document, level and a hash: their positions, and their places in the set.
 
-    `document` is sorted; `frequent` are the shingles put last, sorted.
+    `document` is sorted; `level` says how frequent a shingle is, from 0 on.
     """
-    late = np.zeros(len(value), bool)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, value), len(frequent) - 1)
-        late = frequent[at] == value
-    order = np.lexsort((mixed(value, seed), late, document))
+    order = np.lexsort((mixed(value, seed), level, document))
     heads = np.flatnonzero(np.diff(document, prepend=-1))
     sizes = np.diff(np.append(heads, len(document)))
-    place = np.arange(len(document)) - np.repeat(heads, sizes)
-    return order[place < np.repeat(prefix_size(sizes), sizes)]
+    return order, np.arange(len(document)) - np.repeat(heads, sizes)
 
 
 def classes(document: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,85 +122,124 @@ def classes(document: np.ndarray, value: np.ndarray, n: int) -> tuple[np.ndarray
     return size, np.where(size > 0, name, np.uint64(0)).view(np.int64)
 
 
-def similar(a: np.ndarray, b: np.ndarray, frequent: np.ndarray) -> bool:
-    """Whether two sorted sets pass the filters of the further orders and the exact test."""
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets pass the filters of the further orders and the exact test.
+
+    Under any order, what two similar sets have in common begins before the last
+    `needed` shingles of either.
+    """
     most, least = max(len(a), len(b)), min(len(a), len(b))
     if 100 * least < THRESHOLD * most:
         return False
+    wanted = needed(len(a), len(b))
     for seed in ORDERS[1:]:
-        own = [s[prefixes(np.zeros(len(s), np.int64), s, seed, frequent)] for s in (a, b)]
+        own = [s[np.argsort(mixed(s, seed))[: len(s) - wanted + 1]] for s in (a, b)]
         if not np.isin(own[0], own[1]).any():
             return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * common >= THRESHOLD * (len(a) + len(b) - common)
+    return len(np.intersect1d(a, b, assume_unique=True)) >= wanted
+
+
+def cells_of(value: np.ndarray) -> np.ndarray:
+    return value >> np.uint64(64 - CELL_BITS)
+
+
+def _range_bits(partitions: int) -> int:
+    """Bits of a cell that name its range: about as many ranges as a shuffle has partitions."""
+    return min(max(partitions, 16), MOST_RANGES).bit_length() - 1
+
+
+def packed_cells(cells: np.ndarray) -> bytes:
+    """Sorted cells as differences, their bytes by significance, compressed."""
+    steps = np.diff(cells, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return zstandard.ZstdCompressor(level=1).compress(steps[:, : CELL_BITS // 8].T.tobytes())
+
+
+def unpacked_cells(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    steps = np.zeros((len(planes) // (CELL_BITS // 8), 8), np.uint8)
+    steps[:, : CELL_BITS // 8] = planes.reshape(CELL_BITS // 8, -1).T
+    return np.cumsum(steps.view("<u8").reshape(-1))
 
 
-_DOCUMENT = "key struct<a:bigint,b:bigint>, id {}, class bigint, n bigint"
+_COLUMNS = "block bigint, key struct<a:bigint,b:bigint>, id {}, class bigint, n bigint, packed binary"
+_NAMES = ["block", "key", "id", "class", "n", "packed", "range", "cells", "counts"]
 
 
-def _sets(source: DataFrame) -> DataFrame:
-    """Rows of documents, and rows of shingles that many classes of one task hold.
+def _blocks(source: DataFrame, range_bits: int) -> DataFrame:
+    """Rows of documents (`packed` is set), and rows of cells (`cells` is set), by block.
 
-    A document row has its class (null without shingles) and size; the others have
-    `shingle` and `times`.
+    A block is a run of rows of one partition with about `BLOCK_SHINGLES` shingles. A
+    document row has its class (null without shingles), the size of its set and its text; a
+    row of cells holds a range of them with the number of the block's classes in each.
     """
 
+    most = BLOCK_SHINGLES
+
     def rows(batches):
+        part, block = TaskContext.get().partitionId(), 0
+        kinds: list = []
         seen: set[int] = set()
-        often: dict[int, int] = {}
-        key = kind = None
-        held, waiting = [], 0
-
-        def count():
-            value, times = np.unique(np.concatenate(held), return_counts=True)
-            for v, t in zip(value[times > 1].tolist(), times[times > 1].tolist(), strict=True):
-                often[v] = often.get(v, 0) + t
+        held: list[np.ndarray] = []
+
+        def name():
+            return part << 32 | block
+
+        def listed():
+            nonlocal block, held, seen
+            cells, counts = np.unique(cells_of(np.concatenate(held)), return_counts=True)
+            heads = cells >> np.uint64(CELL_BITS - range_bits)
+            cuts = np.flatnonzero(np.diff(heads, prepend=~heads[:1]))
+            pack = zstandard.ZstdCompressor(level=1).compress
+            spans = list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(cells)], strict=True))
+            size = len(spans)
+            nothing = pa.nulls(size)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(size, name(), np.int64)),
+                    *[nothing.cast(kind) for kind in kinds],
+                    nothing.cast(pa.int64()),
+                    nothing.cast(pa.int64()),
+                    nothing.cast(pa.binary()),
+                    pa.array(heads[cuts].astype(np.int64)),
+                    pa.array([packed_cells(cells[a:b]) for a, b in spans], pa.binary()),
+                    pa.array([pack(np.minimum(counts[a:b], 255).astype(np.uint8).tobytes()) for a, b in spans]),
+                ],
+                names=_NAMES,
+            )
+            block, held, seen = block + 1, [], set()
 
         for batch in batches:
-            key, kind = batch.schema.field(0).type, batch.schema.field(1).type
+            kinds = [batch.schema.field(0).type, batch.schema.field(1).type]
             texts = utf8(batch.column(2))
             document, value = shingle_sets(texts)
-            size, name = classes(document, value, len(texts))
+            size, named = classes(document, value, len(texts))
+            pack = zstandard.ZstdCompressor(level=1).compress
+            nothing = pa.nulls(len(texts))
             yield pa.RecordBatch.from_arrays(
                 [
+                    pa.array(np.full(len(texts), name(), np.int64)),
                     batch.column(0),
                     batch.column(1),
-                    pa.array(name, mask=size == 0),
+                    pa.array(named, mask=size == 0),
                     pa.array(size),
-                    pa.nulls(len(texts)).cast(pa.int64()),
-                    pa.nulls(len(texts)).cast(pa.int64()),
-                ],
-                names=names,
-            )
-            fresh = np.array([c not in seen for c in name.tolist()], bool)
-            fresh[fresh] = _firsts(name[fresh])
-            seen.update(name.tolist())
-            held.append(value[fresh[document]])
-            waiting += len(held[-1])
-            if waiting > 4_000_000:
-                count()
-                held, waiting = [], 0
-        if held:
-            count()
-        frequent = [(v, t) for v, t in often.items() if t >= OFTEN]
-        if frequent:
-            value, times = (np.array(x) for x in zip(*frequent, strict=True))
-            nothing = pa.nulls(len(value))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    nothing.cast(key),
-                    nothing.cast(kind),
-                    nothing.cast(pa.int64()),
+                    pa.array([pack(text) for text in texts], pa.binary()),
                     nothing.cast(pa.int64()),
-                    pa.array(value.astype(np.uint64).view(np.int64)),
-                    pa.array(times.astype(np.int64)),
+                    nothing.cast(pa.binary()),
+                    nothing.cast(pa.binary()),
                 ],
-                names=names,
+                names=_NAMES,
             )
+            fresh = np.array([c not in seen for c in named.tolist()], bool)
+            fresh[fresh] = _firsts(named[fresh])
+            seen.update(named.tolist())
+            held.append(value[fresh[document]])
+            if sum(map(len, held)) >= most:
+                yield from listed()
+        if any(map(len, held)):
+            yield from listed()
 
-    names = ["key", "id", "class", "n", "shingle", "times"]
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(rows, _DOCUMENT.format(kind) + ", shingle bigint, times bigint")
+    return source.mapInArrow(rows, _COLUMNS.format(kind) + ", range bigint, cells binary, counts binary")
 
 
 def _firsts(values: np.ndarray) -> np.ndarray:
@@ -203,28 +249,69 @@ def _firsts(values: np.ndarray) -> np.ndarray:
     return mask
 
 
-def _index(source: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(shingle, class, n): the prefix of every class under the first order, once per task."""
+def _levels(lists: DataFrame) -> DataFrame:
+    """(block, range, levels): the binary logarithm of how many classes are in each listed cell."""
 
-    def rows(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            texts = utf8(batch.column(0))
-            document, value = shingle_sets(texts)
-            size, name = classes(document, value, len(texts))
-            fresh = np.array([c not in seen for c in name.tolist()], bool)
-            fresh[fresh] = _firsts(name[fresh])
-            seen.update(name.tolist())
-            wanted = fresh[document]
-            document, value = document[wanted], value[wanted]
-            chosen = prefixes(document, value, ORDERS[0], frequent)
-            document, value = document[chosen], value[chosen]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value.view(np.int64)), pa.array(name[document]), pa.array(size[document])],
-                names=["shingle", "class", "n"],
-            )
+    def found(table):
+        unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
+        cells = [unpacked_cells(x) for x in table.column("cells").to_pylist()]
+        counts = [np.frombuffer(unpack(x), np.uint8) for x in table.column("counts").to_pylist()]
+        _, at = np.unique(np.concatenate(cells), return_inverse=True)
+        times = np.bincount(at, np.concatenate(counts))
+        level = np.log2(times).astype(np.uint8)[at]
+        ends = np.cumsum([len(x) for x in cells])
+        parts = [pack(x.tobytes()) for x in np.split(level, ends[:-1])]
+        return pa.Table.from_arrays(
+            [table.column("block"), table.column("range"), pa.array(parts, pa.binary())],
+            names=["block", "range", "levels"],
+        )
+
+    return lists.groupBy("range").applyInArrow(found, "block bigint, range bigint, levels binary")
+
+
+def _candidates(documents: DataFrame, levels: DataFrame) -> DataFrame:
+    """Of classes that can have a partner: rows (shingle, class, n, place) of the prefix, and texts.
 
-    return source.select("text").mapInArrow(rows, "shingle bigint, class bigint, n bigint")
+    Only shingles that occur elsewhere are listed, with their place in the order. A class
+    comes once per block.
+    """
+
+    def found(key, documents, levels):
+        unpack = zstandard.ZstdDecompressor().decompress
+        named = documents.column("class").to_numpy()
+        first = _firsts(named)
+        documents, named = documents.filter(pa.array(first)), named[first]
+        document, value = shingle_sets(unpacked(documents.column("packed")))
+        cells = cells_of(value)
+        order = np.argsort(levels.column("range").to_numpy())
+        packed = levels.column("levels").to_pylist()
+        listed = np.frombuffer(b"".join([unpack(packed[i]) for i in order.tolist()]), np.uint8)
+        level = listed[np.unique(cells, return_inverse=True)[1]]
+        size = np.bincount(document, minlength=len(named))
+        shared = np.bincount(document, level > 0, minlength=len(named)).astype(np.int64)
+        partner = 100 * shared >= THRESHOLD * size
+        # Shingles that occur nowhere else come first, so only the others are put in order.
+        meets = partner[document] & (level > 0)
+        document, value = document[meets], value[meets]
+        order, place = placed(document, value, ORDERS[0], level[meets])
+        place += (size - shared)[document]
+        chosen = place < prefix_size(size[document])
+        whose, place, value = document[chosen], place[chosen], value[order[chosen]]
+        at = np.flatnonzero(partner)
+        texts = documents.column("packed").combine_chunks().take(pa.array(at))
+        return pa.Table.from_arrays(
+            [
+                pa.concat_arrays([pa.array(value.view(np.int64)), pa.nulls(len(at), pa.int64())]),
+                pa.array(np.concatenate([named[whose], named[at]])),
+                pa.array(np.concatenate([size[whose], size[at]])),
+                pa.concat_arrays([pa.array(place), pa.nulls(len(at), pa.int64())]),
+                pa.concat_arrays([pa.nulls(len(value), pa.binary()), texts.cast(pa.binary())]),
+            ],
+            names=["shingle", "class", "n", "place", "packed"],
+        )
+
+    both = documents.groupBy("block").cogroup(levels.groupBy("block"))
+    return both.applyInArrow(found, "shingle bigint, class bigint, n bigint, place bigint, packed binary")
 
 
 def _by_shingle(rows: DataFrame, found, schema: str) -> DataFrame:
@@ -253,41 +340,83 @@ def _by_shingle(rows: DataFrame, found, schema: str) -> DataFrame:
     return dealt.mapInArrow(stream, schema)
 
 
-def _shared(shingle, name, n):
-    """Shingles of two classes or more, each row with a representative of about its size."""
+def _close(n, place, m, other):
+    """Whether sets of n and m shingles with one at these places can be similar by it."""
+    wanted = needed(n, m)
+    return (place <= n - wanted) & (other <= m - wanted)
+
+
+def _drawn(shingle, name, seed: int) -> np.ndarray:
+    """A hash of the class, one of `HUBS` by shingle, so that a family's shingles draw alike."""
+    salt = shingle.view(np.uint64) % np.uint64(HUBS) * np.uint64(_BASE)
+    return mixed(name.view(np.uint64) + salt, seed)
+
+
+def _groups(shingle) -> tuple[np.ndarray, np.ndarray]:
+    """First rows of the shingles, and the number of each row's shingle."""
+    heads = np.flatnonzero(np.diff(shingle, prepend=~shingle[:1]))
+    return heads, np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(shingle))))
+
+
+def _shared(shingle, name, n, place):
+    """Shingles of two classes or more, each row with another it is first compared with.
+
+    That is the shingle's hub, or where the two cannot be similar by this shingle, an earlier
+    row that can.
+    """
     new = np.ones(len(shingle), bool)
     new[1:] = (shingle[1:] != shingle[:-1]) | (name[1:] != name[:-1])
-    shingle, name, n = shingle[new], name[new], n[new]
+    shingle, name, n, place = shingle[new], name[new], n[new], place[new]
     alone = np.ones(len(shingle), bool)
     alone[1:] &= shingle[1:] != shingle[:-1]
     alone[:-1] &= shingle[1:] != shingle[:-1]
-    shingle, name, n = shingle[~alone], name[~alone], n[~alone]
-    chosen = np.empty(len(shingle), np.int64)
-    at = 0
-    for i in range(len(shingle)):
-        if shingle[i] != shingle[at] or THRESHOLD * n[i] > 100 * n[at]:
-            at = i
-        chosen[i] = at
-    columns = [shingle, name, n, name[chosen] if len(name) else name]
-    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "class", "n", "chosen"])
-
-
-def _apart(shingle, name, n, root):
-    """Pairs of one shingle, close enough in size, that are in different components."""
+    shingle, name, n, place = shingle[~alone], name[~alone], n[~alone], place[~alone]
+    heads, group = _groups(shingle)
+    chosen = np.lexsort((_drawn(shingle, name, 1), group))[heads][group] if len(heads) else group
+    far = np.flatnonzero(~_close(n[chosen], place[chosen], n, place))
+    own = None
+    for i, s, m, p in zip(far.tolist(), *(x[far].tolist() for x in (shingle, n, place)), strict=True):
+        if own is None or s != own[1] or not _close(own[2], own[3], m, p):
+            own = (i, s, m, p)
+        chosen[i] = own[0]
+    columns = [shingle, name, n, place, name[chosen] if len(name) else name]
+    names = ["shingle", "class", "n", "place", "chosen"]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+
+def _apart_and_near(seed: int):
+    """Of the pairs that `_apart` gives, those whose classes are drawn one soon after the other."""
+
+    def found(shingle, name, n, place, root):
+        group = _groups(shingle)[1]
+        order = np.lexsort((_drawn(shingle, name, seed), group))
+        group, name, n, place, root = (x[order] for x in (group, name, n, place, root))
+        for step in range(1, NEIGHBOURS + 1):
+            meets = (group[step:] == group[:-step]) & (root[step:] != root[:-step])
+            meets &= _close(n[:-step], place[:-step], n[step:], place[step:])
+            a, b = name[:-step][meets], name[step:][meets]
+            pair = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+            yield pa.RecordBatch.from_arrays(pair, names=["a", "b"])
+
+    return found
+
+
+def _apart(shingle, name, n, place, root):
+    """Pairs that can be similar by a shingle and are in different components."""
     heads = np.flatnonzero(np.diff(shingle, prepend=~shingle[:1]))
     for begin, end in zip(heads, np.append(heads[1:], len(shingle)), strict=True):
         if (root[begin:end] == root[begin]).all():
             continue
         for i in range(begin, end - 1):
             upto = begin + int(np.searchsorted(n[begin:end], 100 * n[i] // THRESHOLD, "right"))
-            other = np.arange(i + 1, upto)
-            other = other[root[i + 1 : upto] != root[i]]
+            rest = slice(i + 1, upto)
+            other = np.flatnonzero(_close(n[i], place[i], n[rest], place[rest]) & (root[rest] != root[i])) + i + 1
             if len(other):
                 a, b = np.minimum(name[i], name[other]), np.maximum(name[i], name[other])
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, frequent: np.ndarray) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar; each side is joined by class."""
 
     def rows(batches):
@@ -305,7 +434,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, frequent: np.ndarray) -> DataF
             linked = [
                 (x, y)
                 for x, y, p, q in zip(a, b, first, second, strict=True)
-                if similar(shingles(x, p), shingles(y, q), frequent)
+                if similar(shingles(x, p), shingles(y, q))
             ]
             left, right = zip(*linked, strict=True) if linked else ((), ())
             yield pa.RecordBatch.from_arrays(
@@ -325,44 +454,49 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     shingles and is its own component; ids may be null or repeated, and a component's id is
     its smallest one. Equal texts are linked. An empty table gives no rows.
 
-    Nothing but the frequent shingles (at most `MOST_FREQUENT`) and counts comes to the
-    driver. A shingle's sets meet in one task as numbers, one per class and task; texts
-    cross an exchange compressed, and only those with a candidate are compared.
+    Documents are written once, in blocks; after that only lists of cells, one per block and
+    range, and the texts of classes that can have a partner cross an exchange. A shingle's
+    sets meet in one task as numbers, one per class and block. Nothing but two tests for
+    emptiness comes to the driver.
     """
     source = df.select(
         text_key(id_column, text_column).alias("key"),
         F.col(id_column).alias("id"),
         F.col(text_column).alias("text"),
     )
-    sets = staged(_sets(source))
-    often = sets.filter("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times"))
-    last = often.orderBy(F.desc("times"), "shingle").limit(MOST_FREQUENT).select("shingle").toPandas()
-    frequent = np.sort(last["shingle"].to_numpy(np.int64).view(np.uint64))
-    documents = sets.filter("shingle is null").select("key", "id", "class", "n")
-
-    schema = "shingle bigint, class bigint, n bigint, chosen bigint"
-    shared = staged(_by_shingle(_index(source, frequent), _shared, schema))
-    found = shared.select("class").distinct()
-    holders = documents.groupBy("class").agg(F.min("key").alias("key")).join(found, "class")
-    packed = packed_texts(df, id_column, text_column).select("key", "packed").join(holders, "key")
-    texts = staged(packed.dropDuplicates(["class"]).select("class", "packed"))
+    spark = df.sparkSession
+    blocks = staged(_blocks(source, _range_bits(int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    documents = blocks.filter("packed is not null").select("block", "key", "id", "class", "n", "packed")
+    levels = _levels(blocks.filter("cells is not null").select("block", "range", "cells", "counts"))
+    candidates = staged(_candidates(documents.filter("class is not null"), levels))
+    texts = candidates.filter("packed is not null").dropDuplicates(["class"]).select("class", "packed")
+    schema = "shingle bigint, class bigint, n bigint, place bigint, chosen bigint"
+    listed = candidates.filter("shingle is not null").select("shingle", "class", "n", "place")
+    shared = staged(_by_shingle(listed, _shared, schema))
 
     pair = [F.least("class", "chosen").alias("a"), F.greatest("class", "chosen").alias("b")]
     tried = staged(shared.filter("class <> chosen").select(*pair).distinct())
-    links = _verified(tried, texts, frequent)
-    roots = linked_components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
-    apart = shared.join(roots, "class", "left").select(
-        "shingle", "class", "n", F.coalesce("root", "class").alias("root")
-    )
-    rest = _by_shingle(apart, _apart, "a bigint, b bigint").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(rest, texts, frequent)
+    links = _verified(tried, texts)
+    for found in (*map(_apart_and_near, (2, 3, 4)), _apart):
+        roots = linked_components(links).select(F.col("node").alias("class"), F.col("component").alias("root"))
+        apart = shared.join(roots, "class", "left").select(
+            "shingle", "class", "n", "place", F.coalesce("root", "class").alias("root")
+        )
+        pairs = _by_shingle(apart, found, "a bigint, b bigint").distinct()
+        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"))
+        more = _verified(pairs, texts)
+        tried, links = tried.unionByName(pairs), links.unionByName(more)
     if not more.isEmpty():
-        joined = linked_components(links.unionByName(more))
+        joined = linked_components(links)
         roots = joined.select(F.col("node").alias("class"), F.col("component").alias("root"))
 
-    placed = documents.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    smallest = placed.groupBy("root").agg(F.min("id").alias("component_id")).filter("root is not null")
-    return placed.join(smallest, "root", "left").select(
+    documents = documents.drop("block", "packed")
+    grouped = documents.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    # Grouped as a struct, the roots get an exchange of their own for the join, which can then
+    # split a hot one.
+    smallest = grouped.groupBy(F.struct("root").alias("of")).agg(F.min("id").alias("component_id"))
+    smallest = smallest.select("of.root", "component_id").filter("root is not null")
+    return grouped.join(smallest, "root", "left").select(
         "key",
         F.col("id").alias(id_column),
         F.col("n").alias("n_shingles"),
