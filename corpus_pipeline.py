@@ -34,9 +34,12 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 2048 tokens."""
+    """Pack what is left into sequences of 2048 tokens.
+
+    The stages before have grown the Python workers, so this one remembers less.
+    """
     small_batches(spark)
-    return op4_packing.pack(docs, WORD_BPE)
+    return op4_packing.pack(docs, WORD_BPE, remembered=300_000, batch_bytes=4 << 20)
 
 
 def _counted(docs: DataFrame) -> DataFrame:

@@ -13,8 +13,10 @@ number among the pieces of that length.
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
+from array import array
 from bisect import bisect_right
 from collections import Counter, defaultdict
 from functools import lru_cache
@@ -26,13 +28,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rosterline.llm.common import staged, utf8
+from rosterline.llm.common import Memory, folded_chunks, larger_batches, staged, utf8
 
 CAPACITY = 2048
 END_ID = 0
-# Chunks that a Python worker remembers; their number and length bound its memory.
-REMEMBERED, LONGEST_REMEMBERED = 600_000, 64
-_remembered: dict[str, dict[bytes, bytes]] = {}
+# Chunks that a Python worker remembers, and bytes of text that it looks up at once.
+REMEMBERED, BATCH_BYTES = 1_100_000, 12 << 20
+_remembered: dict[str, Memory] = {}
 
 
 @lru_cache(maxsize=2)
@@ -44,36 +46,56 @@ def _tokenizer(path: str) -> Tokenizer:
     return tokenizer
 
 
-def _packed_ids(path: str, texts: list[bytes]):
+@lru_cache(maxsize=2)
+def _ends(path: str) -> np.ndarray:
+    """Which ids end a word."""
+    vocabulary = _tokenizer(path).get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+    return ends
+
+
+def _packed_ids(path: str, texts: list[bytes], remembered: int = REMEMBERED) -> list[bytes]:
     """The ids of each text as little-endian 32-bit numbers, without the end.
 
     Tokens of this tokenizer never cross ASCII white space, so chunks between white
     space are encoded once and looked up after that.
     """
-    tokenizer, known = _tokenizer(path), _remembered.setdefault(path, {})
+
+    tokenizer, ends = _tokenizer(path), _ends(path)
 
     def encoded(chunks):
-        plain = [c.decode("utf-8", "replace") for c in chunks]
-        found = tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    for text in texts:
-        chunks = text.split()
-        new = [c for c in set(chunks) if c not in known]
-        if new:
-            fresh = dict(zip(new, encoded(new), strict=True))
-            short = {c: ids for c, ids in fresh.items() if len(c) <= LONGEST_REMEMBERED}
-            if len(known) + len(short) > REMEMBERED:
-                fresh |= {c: known[c] for c in chunks if c in known}
-                known.clear()
-            known.update(short)
-            yield b"".join([known[c] if c in known else fresh[c] for c in chunks])
-        else:
-            yield b"".join([known[c] for c in chunks])
+        found, rest, run = {}, [], []
+        for chunk in chunks:
+            (run if chunk.isalpha() else rest).append(chunk)
+        # A chunk of ASCII letters is one word, so runs of them are encoded at once and cut
+        # behind the tokens that end a word.
+        for at in range(0, len(run), 512):
+            part = run[at : at + 512]
+            ids = tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids
+            packed = array("I", ids).tobytes()
+            cuts = (4 * np.flatnonzero(ends[ids]) + 4).tolist()
+            found.update(
+                (c, packed[a:b]) for c, a, b in zip(part, [0, *cuts[:-1]], cuts, strict=True)
+            )
+        plain = [c.decode("utf-8", "replace") for c in rest]
+        for chunk, one in zip(rest, tokenizer.encode_batch_fast(plain, add_special_tokens=False), strict=True):
+            found[chunk] = array("I", one.ids).tobytes()
+        return found
+
+    chunks = [folded_chunks(text) for text in texts]
+    ids = _remembered.setdefault(path, Memory(remembered)).table(chunks, encoded)
+    return [b"".join(map(ids.__getitem__, own)) for own in chunks]
 
 
 def tokenised_pieces(
-    df: DataFrame, path: str, id_column: str, text_column: str, capacity: int = CAPACITY
+    df: DataFrame,
+    path: str,
+    id_column: str,
+    text_column: str,
+    capacity: int = CAPACITY,
+    remembered: int = REMEMBERED,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """One row per piece: (part, id, piece, start, length, ids_crc32, nth).
 
@@ -82,11 +104,13 @@ def tokenised_pieces(
     """
 
     def rows(batches):
+        # Nothing here refers to itself, and collections would walk millions of chunks.
+        gc.set_threshold(200_000, 50, 100)
         part, seen = TaskContext.get().partitionId(), Counter()
         end = END_ID.to_bytes(4, "little")
-        for batch in batches:
+        for batch in larger_batches(batches, batch_bytes):
             taken, table = [], []
-            for at, ids in enumerate(_packed_ids(path, utf8(batch.column(1)))):
+            for at, ids in enumerate(_packed_ids(path, utf8(batch.column(1)), remembered)):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     cut = ids[start : start + 4 * capacity]
@@ -179,7 +203,13 @@ def _places(plan: list[tuple[int, list[int]]]) -> dict[int, tuple[np.ndarray, ..
 
 
 def pack(
-    df: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", capacity: int = CAPACITY
+    df: DataFrame,
+    path: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    capacity: int = CAPACITY,
+    remembered: int = REMEMBERED,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Pack all documents: (id, piece, start, length, ids_crc32, sequence_id, offset).
 
@@ -188,9 +218,12 @@ def pack(
     `capacity` rows) comes to the driver, and the plan that goes back holds a few rows
     per length. Pieces are written to the shared folder once, so that their numbers
     stay; they then meet the first number of their length in their partition in a join
-    whose keys hold one partition's pieces at most.
+    whose keys hold one partition's pieces at most. `remembered` and `batch_bytes` trade
+    memory of a Python worker for time.
     """
-    pieces = staged(tokenised_pieces(df, path, id_column, text_column, capacity))
+    pieces = staged(
+        tokenised_pieces(df, path, id_column, text_column, capacity, remembered, batch_bytes)
+    )
     counts = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = _places(best_two_fit(histogram, capacity))
