@@ -8,9 +8,12 @@ learns how far the earlier ones can be trusted on new text.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import math
+from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -27,80 +30,111 @@ PENALTY, STEPS = 1e-4, 40
 STRENGTH = 6.63
 # Letters in the heads of words.
 HEADS = (4, 5)
+# Log odds are cut off here.
+LARGEST_ODDS = 14.0
 
 
-def words(text: Column) -> Column:
-    """The distinct words of a text, letters and digits in lower case, and the heads of long ones.
+PUNCTUATION = ".,;:!?\"'()[]{}*#$%&|<>-_+=/~`"
 
-    A head, `^` and the first letters, stands for all forms of a word.
-    """
-    found = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
-    whole = F.array_distinct(F.filter(found, lambda w: w != ""))
-    heads = [
-        F.transform(F.filter(whole, lambda w: F.length(w) > HEADS[-1]), _head(size)) for size in HEADS
-    ]
-    return F.concat(whole, *[F.array_distinct(h) for h in heads])
 
+def features_of(word: str) -> list[str]:
+    """What a word in lower case stands for: itself without marks around it, and its heads if long.
 
-def _head(size: int):
-    return lambda w: F.concat(F.lit("^"), F.substring(w, 1, size))
+    A head, `^` and the first letters, stands for all forms of a word.
+    """
+    bare = word.strip(PUNCTUATION)
+    if len(bare) <= HEADS[-1]:
+        return [bare] if bare else []
+    return [bare, *[f"^{bare[:size]}" for size in HEADS]]
 
 
 @dataclass
-class Chain:
-    """Models in the order in which they are applied, and the words they look at."""
-
-    vocabulary: CountVectorizerModel | None
-    models: list[tuple[str, LogisticRegressionModel | float]] = field(default_factory=list)
+class Model:
+    """One category: log odds from the words a text holds and the earlier categories' log odds."""
 
-    def score(self, df: DataFrame, text: Column) -> DataFrame:
-        """Add `p_<category>` for every category of the chain."""
-        columns = df.columns
-        rows = df.withColumn("_words", words(text))
-        if self.vocabulary is not None:
-            rows = self.vocabulary.transform(rows)
-        for name, model in self.models:
-            rows = _applied(rows, [m for m, _ in self.models], name, model)
-        return rows.select(*columns, *[F.col(f"p_{name}") for name, _ in self.models])
+    category: str
+    bias: float
+    weights: np.ndarray
+    earlier: np.ndarray
 
 
-def _odds(probability: str) -> Column:
-    p = F.least(F.greatest(F.col(probability), F.lit(1e-6)), F.lit(1 - 1e-6))
-    return F.log(p / (1 - p))
+@dataclass
+class Chain:
+    """Models in the order in which they are applied, and the number of each word."""
+
+    vocabulary: dict[str, int]
+    models: list[Model]
+
+    def score(self, df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+        """(id, p_<category>...) of every row; nothing is exchanged, and a text is read whole."""
+        names = ["id", *[f"p_{m.category}" for m in self.models]]
+
+        def rows(batches):
+            for batch in batches:
+                lists = [set((text or "").lower().split()) for text in batch.column(1).to_pylist()]
+                listed = {}
+                for word in set().union(*lists):
+                    found = [self.vocabulary[f] for f in features_of(word) if f in self.vocabulary]
+                    if found:
+                        listed[word] = found
+                scores = []
+                for words in lists:
+                    columns = sorted({c for w in words & listed.keys() for c in listed[w]})
+                    scores.append(self._probabilities(columns))
+                table = np.array(scores, np.float64).reshape(-1, len(self.models))
+                parts = [pa.array(table[:, i]) for i in range(len(self.models))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *parts], names=names)
+
+        source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+        schema = f"id {source.schema['id'].dataType.simpleString()}, " + ", ".join(f"{n} double" for n in names[1:])
+        return source.mapInArrow(rows, schema).withColumnRenamed("id", id_column)
+
+    def _probabilities(self, columns: list[int]) -> list[float]:
+        odds: list[float] = []
+        for model in self.models:
+            own = model.bias + float(model.weights[columns].sum()) + float(model.earlier @ odds if odds else 0)
+            odds.append(max(-LARGEST_ODDS, min(LARGEST_ODDS, own)))
+        return [1 / (1 + math.exp(-x)) for x in odds]
 
 
 def _inputs(rows: DataFrame, earlier: list[str]) -> DataFrame:
     """Words and the log odds of the earlier categories as one vector, `_features`."""
-    for name in earlier:
-        rows = rows.withColumn(f"_odds_{name}", _odds(f"p_{name}"))
     inputs = ["_counts", *[f"_odds_{name}" for name in earlier]]
     return VectorAssembler(inputCols=inputs, outputCol="_features").transform(rows)
 
 
-def _applied(rows: DataFrame, chain: list[str], name: str, model) -> DataFrame:
-    if isinstance(model, float):
-        return rows.withColumn(f"p_{name}", F.lit(model))
-    scored = model.transform(_inputs(rows, chain[: chain.index(name)]))
-    kept = [F.col(c) for c in rows.columns]
-    return scored.select(*kept, vector_to_array("_probability")[1].alias(f"p_{name}"))
+def _fitted(rows: DataFrame, width: int, earlier: list[str], category: str):
+    """A model of one category and the regression it comes from.
 
-
-def _fitted(rows: DataFrame, earlier: list[str], label: str) -> LogisticRegressionModel | float:
-    """A model of one category, or its smoothed share where the rows show one class only."""
+    Where the rows show one class only, it gives its smoothed share and there is no regression.
+    """
+    label = f"_y_{category}"
     count, positive = rows.agg(F.count(label), F.sum(label)).first()
     positive = positive or 0
     if not 0 < positive < count:
-        return float((positive + 0.5) / (count + 1))
+        share = (positive + 0.5) / (count + 1)
+        return Model(category, math.log(share / (1 - share)), np.zeros(width), np.zeros(len(earlier))), None
     regression = LogisticRegression(
-        featuresCol="_features",
-        labelCol=label,
-        regParam=PENALTY,
-        maxIter=STEPS,
-        probabilityCol="_probability",
-        rawPredictionCol="_raw",
-        predictionCol="_prediction",
-    )
-    return regression.fit(_inputs(rows, earlier))
+        featuresCol="_features", labelCol=label, regParam=PENALTY, maxIter=STEPS, rawPredictionCol="_raw"
+    ).fit(_inputs(rows, earlier))
+    weights = regression.coefficients.toArray()
+    return Model(category, float(regression.intercept), weights[:width], weights[width:]), regression
+
+
+def _out_of_fold(rows: DataFrame, width: int, earlier: list[str], category: str) -> DataFrame:
+    """The rows with `_odds_<category>` from models that were fitted on the other folds."""
+    parts = None
+    for fold in range(FOLDS):
+        model, regression = _fitted(rows.filter(F.col("_fold") != fold), width, earlier, category)
+        held = rows.filter(F.col("_fold") == fold)
+        if regression is None:
+            odds = F.lit(model.bias)
+        else:
+            held, odds = regression.transform(_inputs(held, earlier)), vector_to_array("_raw")[1]
+        odds = F.least(F.greatest(odds, F.lit(-LARGEST_ODDS)), F.lit(LARGEST_ODDS))
+        part = held.select(*rows.columns, odds.alias(f"_odds_{category}"))
+        parts = part if parts is None else parts.unionByName(part)
+    return staged(parts)
 
 
 def _vocabulary(sample: DataFrame, labels: list[str]) -> list[str]:
@@ -152,33 +186,44 @@ def fit_chain(
         .orderBy(F.xxhash64(F.col("_id").cast("string")), "_id")
         .limit(sample)
     )
-    texts = df.select(F.col(id_column).alias("_id"), words(F.col(text_column)).alias("_words"))
     targets = [f"_y_{n}" for n in names]
     # The sample has a fixed size, so it may be broadcast; the texts stay where they are.
-    rows = staged(texts.join(F.broadcast(chosen), "_id").select("_id", "_words", *targets))
+    texts = df.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"))
+    labelled = texts.join(F.broadcast(chosen), "_id").select("_id", "_text", *targets)
+    rows = staged(_with_words(labelled))
     listed = _vocabulary(rows, targets) if not rows.isEmpty() else []
-    if not listed:
-        count = rows.count()
-        sums = rows.agg(*[F.sum(t) for t in targets]).first()
-        return Chain(None, [(n, float(((s or 0) + 0.5) / (count + 1))) for n, s in zip(names, sums, strict=True)])
-    vocabulary = CountVectorizerModel.from_vocabulary(listed, inputCol="_words", outputCol="_counts")
-    vocabulary.setBinary(True)
+    chain = Chain({word: i for i, word in enumerate(listed)}, [])
+    # Spark's vectors need a word; one that no text holds changes nothing.
+    vectors = CountVectorizerModel.from_vocabulary(listed or [""], inputCol="_words", outputCol="_counts")
+    vectors.setBinary(True)
     fold = F.pmod(F.xxhash64(F.col("_id").cast("string"), F.lit(3)), F.lit(FOLDS))
-    rows = vocabulary.transform(rows).drop("_words").withColumn("_fold", fold)
-    chain = Chain(vocabulary)
+    rows = vectors.transform(rows).drop("_words").withColumn("_fold", fold)
     for at, name in enumerate(names):
-        earlier = names[:at]
-        chain.models.append((name, _fitted(rows, earlier, f"_y_{name}")))
+        width = max(len(listed), 1)
+        model, _ = _fitted(rows, width, names[:at], name)
+        chain.models.append(model)
         if at + 1 < len(names):
-            unseen = None
-            for k in range(FOLDS):
-                model = _fitted(rows.filter(F.col("_fold") != k), earlier, f"_y_{name}")
-                part = _applied(rows.filter(F.col("_fold") == k), names, name, model)
-                unseen = part if unseen is None else unseen.unionByName(part)
-            rows = staged(unseen)
+            rows = _out_of_fold(rows, width, names[:at], name)
     return chain
 
 
+def _with_words(labelled: DataFrame) -> DataFrame:
+    """The rows with the distinct features of their texts, `_words`, in the text's place."""
+    kept = [c for c in labelled.columns if c != "_text"]
+
+    def rows(batches):
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
+            found = [
+                sorted({f for w in set((text or "").lower().split()) for f in features_of(w)}) for text in texts
+            ]
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.string()))], names=[*kept, "_words"])
+
+    kinds = [f"{c} {labelled.schema[c].dataType.simpleString()}" for c in kept]
+    return labelled.mapInArrow(rows, ", ".join([*kinds, "_words array<string>"]))
+
+
 def toxicity(
     df: DataFrame,
     labels: DataFrame,
@@ -192,8 +237,6 @@ def toxicity(
     One row per input row, whatever its id; a null or empty text has no words and gets
     what the models give a text without them. Nothing is exchanged while scoring.
     """
-    chain = fit_chain(df, labels, categories, id_column, text_column)
-    source = df.select(F.col(id_column), F.col(text_column).alias("_text"))
-    scored = chain.score(source, F.col("_text")).drop("_text")
+    scored = fit_chain(df, labels, categories, id_column, text_column).score(df, id_column, text_column)
     flags = [(F.col(f"p_{n}") >= threshold).alias(n) for n in categories]
     return scored.select("*", *flags)
