@@ -63,19 +63,18 @@ def _pieces(path: str):
     return model, fallback
 
 
-# Words that a Python worker remembers.
+# Words that a task remembers.
 REMEMBERED = 600_000
-_remembered: dict[str, Memory] = {}
 
 
-def _word_ids(path: str, texts: list[list[bytes]]) -> dict[bytes, bytes]:
+def _word_ids(path: str, texts: list[list[bytes]], memory: Memory) -> dict[bytes, bytes]:
     """Ids of the words of some texts, each encoded as it is after a space."""
 
     def encoded(words):
         found = _pieces(path)[0].encode([w.decode("utf-8", "replace") for w in words], num_threads=1)
         return {w: array("H", ids).tobytes() for w, ids in zip(words, found, strict=True)}
 
-    return _remembered.setdefault(path, Memory(REMEMBERED)).table(texts, encoded)
+    return memory.table(texts, encoded)
 
 
 def fertility(path: str, words: list[bytes], word_chars: int, known=None) -> tuple[float, float, float]:
@@ -83,7 +82,7 @@ def fertility(path: str, words: list[bytes], word_chars: int, known=None) -> tup
 
     `known` holds the ids of the words, if they have been looked up.
     """
-    known = known or _word_ids(path, [words])
+    known = known or _word_ids(path, [words], Memory(REMEMBERED))
     ids = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u2")
     if not len(ids):
         return 0.0, 0.0, 0.0
@@ -171,10 +170,11 @@ def quality(
     """
 
     def rows(batches):
+        memory = Memory(REMEMBERED)
         for batch in batches:
             out = []
             texts = utf8(batch.column(1))
-            known = _word_ids(path, [raw.split() for raw in texts])
+            known = _word_ids(path, [raw.split() for raw in texts], memory)
             for raw, language in zip(texts, batch.column(2).to_pylist(), strict=True):
                 words, chars, symbols, lines, repeated = base_counts(raw)
                 failed = len(words) < MIN_WORDS or 100 * repeated > 50 * len(words)
