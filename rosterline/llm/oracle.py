@@ -51,11 +51,11 @@ FROM documents d LEFT JOIN spans s ON d.doc_id = s.doc_id GROUP BY d.doc_id
 REPEATS = f"""
 WITH lists AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents),
 words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM lists),
-windows AS (
+windows AS MATERIALIZED (
   SELECT doc_id, i, md5(string_agg(word, ' ') OVER part) AS h, count(*) OVER part AS n FROM words
   WINDOW part AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
 ),
-twice AS (SELECT h FROM windows WHERE n = 35 GROUP BY h HAVING count(*) > 1),
+twice AS MATERIALIZED (SELECT h FROM windows WHERE n = 35 GROUP BY h HAVING count(*) > 1),
 gone AS (
   SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows WHERE n = 35 AND h IN (SELECT h FROM twice)
 ),
@@ -75,13 +75,13 @@ runs AS (
   SELECT doc_id, i, n, string_agg(word, ' ') OVER part AS shingle, count(*) OVER part AS size FROM words
   WINDOW part AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)
 ),
-shingles AS (SELECT DISTINCT doc_id, shingle FROM runs WHERE size = 5 OR (n < 5 AND i = 1)),
-sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-common AS (
+shingles AS MATERIALIZED (SELECT DISTINCT doc_id, shingle FROM runs WHERE size = 5 OR (n < 5 AND i = 1)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS MATERIALIZED (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.shingle = b.shingle
   AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ),
-links AS (
+links AS MATERIALIZED (
   SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
   WHERE 100 * c >= 80 * (x.n + y.n - c)
 ),
@@ -96,11 +96,11 @@ FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 VECTORS = """
 WITH RECURSIVE good AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
-  WHERE len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ),
-unit AS (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS norm FROM good),
-links AS (
+unit AS MATERIALIZED (SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS norm FROM good),
+links AS MATERIALIZED (
   SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id
   WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.95
 ),
