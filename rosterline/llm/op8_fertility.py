@@ -29,9 +29,10 @@ WHITE = b" \t\n\x0b\x0c\r"
 class Band(NamedTuple):
     """What a text must keep to; outside it is rejected.
 
-    Entropy, in bits per token, rises with the number of tokens. It is held against the
-    usual entropy of so many tokens, `a + b*x - c*x*x` with x the binary logarithm of
-    their number, and may lie so far below and above it.
+    Entropy, in bits per token, rises with the number of tokens and then levels off. It is
+    held against the usual entropy of so many tokens, `a + b*x - c*x*x` with x the binary
+    logarithm of their number, from the peak on at its maximum, and may lie so far below
+    and above it. A natural vocabulary goes on growing past the peak: see `WIDER`.
     """
 
     chars_per_token: tuple[float, float]
@@ -55,6 +56,10 @@ BANDS = {
     "other": Band((0.25, 12.0), 0.9, (1.6, 0.8, 0.0345), 2.5, 5.0),
 }
 
+# Past the peak of the usual entropy, bits that a text may lie further above it for every
+# doubling of its tokens, and at most.
+WIDER, WIDEST = 0.3, 1.5
+
 
 @lru_cache(maxsize=2)
 def _pieces(path: str):
@@ -143,8 +148,11 @@ def accepted(measured: tuple[float, float, float], word_chars: int, band: Band)
     low, high = band.chars_per_token
     x = math.log2(word_chars / chars)
     a, b, c = band.usual_entropy
-    off = entropy - (a + b * x - c * x * x)
-    return low <= chars <= high and share <= band.byte_share and -band.below <= off <= band.above
+    peak = b / (2 * c)
+    level = min(x, peak)
+    off = entropy - (a + b * level - c * level * level)
+    above = band.above + min(WIDER * (x - level), WIDEST)
+    return low <= chars <= high and share <= band.byte_share and -band.below <= off <= above
 
 
 RESULT = (

@@ -1,7 +1,10 @@
 """Operators on single texts against plain Python, over awkward rows."""
 
+import ast
+import glob
 import hashlib
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -259,6 +262,49 @@ def test_kept_rows_are_unchanged(docs, no_docs):
     assert op8_fertility.keep_good(no_docs, PIECES).count() == 0
 
 
+def plain_english(n):
+    """Words of the distinct lines in docstrings of the standard library."""
+    words, seen = [], set()
+    for path in sorted(glob.glob(os.path.join(os.path.dirname(os.__file__), "*.py"))):
+        with open(path, encoding="utf-8") as source:
+            tree = ast.parse(source.read())
+        kinds = (ast.Module, ast.ClassDef, ast.FunctionDef)
+        for line in "\n".join(ast.get_docstring(x) or "" for x in ast.walk(tree) if isinstance(x, kinds)).split("\n"):
+            words += [] if line in seen else line.split()
+            seen.add(line)
+        if len(words) >= n:
+            break
+    return words[:n]
+
+
+@pytest.mark.parametrize("times", [1, 10, 100])
+def test_the_verdict_on_long_texts_does_not_turn_with_their_length(times):
+    """Clean English, a few words over and over, and a soup of pieces, of 1e5 to 1e7 tokens."""
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = np.random.default_rng(3)
+    english = plain_english(70_000)
+    few = list(dict.fromkeys(w for w in english if w.isalpha() and len(model.encode(w)) == 1))[:80]
+    pieces = [p for i in range(300, len(model)) if (p := model.id_to_piece(i).strip("\u2581")).isalpha()]
+
+    def kept(words):
+        words = [w.encode() for w in words]
+        chars = sum(len(w.decode()) for w in words)
+        measured = op8_fertility.fertility(PIECES, words * times, chars * times)
+        assert chars * times / measured[0] >= 1e5 * times
+        return op8_fertility.accepted(measured, chars * times, op8_fertility.BANDS["en"])
+
+    assert kept(english)
+    assert not kept(rng.choice(few, 100_000).tolist())
+    assert not kept(rng.choice(pieces, 100_000).tolist())
+
+
+def test_a_long_clean_document_is_kept(spark):
+    rows = [(1, " ".join(plain_english(70_000)), "en")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    found = op8_fertility.quality_report(df, PIECES).first()
+    assert not found.base_failed and found.kept
+
+
 # --- Secrets
 
 
