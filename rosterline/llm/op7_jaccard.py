@@ -448,11 +448,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(key, id, n_shingles, component_id) of every document.
+    """(key, component_root, id, n_shingles, component_id) of every document.
 
     Words lie between ASCII white space, with A-Z in lower case. A null or empty text has no
     shingles and is its own component; ids may be null or repeated, and a component's id is
-    its smallest one. Equal texts are linked. An empty table gives no rows.
+    its smallest one. Different components can have the same id; only the root, null without
+    shingles, tells them apart. Equal texts are linked. An empty table gives no rows.
 
     Documents are written once, in blocks; after that only lists of cells, one per block and
     range, and the texts of classes that can have a partner cross an exchange. A shingle's
@@ -498,6 +499,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
     smallest = smallest.select("of.root", "component_id").filter("root is not null")
     return grouped.join(smallest, "root", "left").select(
         "key",
+        F.col("root").alias("component_root"),
         F.col("id").alias(id_column),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
@@ -506,21 +508,24 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text_column: str =
 
 def join_report(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_shingles, component_id)."""
-    return near_duplicates(df, id_column, text_column).drop("key")
+    return near_duplicates(df, id_column, text_column).drop("key", "component_root")
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each component, the one with its id; rows without shingles all stay."""
+    """One row of each component, one with its id; rows without shingles all stay."""
     groups = near_duplicates(df, id_column, text_column)
-    alone = F.when(F.col("n_shingles") == 0, F.struct("key", F.lit(1)))
-    first = groups.groupBy("component_id", alone.alias("alone")).agg(
+    alone = F.when(F.col("n_shingles") == 0, F.col("key"))
+    first = groups.groupBy("component_root", alone.alias("alone")).agg(
         F.min(F.struct(F.col(id_column).isNull(), F.col(id_column), F.col("key"))).alias("first")
     )
-    kept = first.select(F.col("first.key").alias("_kept"))
+    kept = first.select(F.col("first.key").alias("_kept"), F.col("alone").isNotNull().alias("_alone"))
     keyed = df.select(F.struct("*").alias("row"), text_key(id_column, text_column).alias("_key"))
+    # Rows given twice have the same key; those without shingles get a number each to stay apart.
+    number = F.when(F.col("_alone"), F.monotonically_increasing_id())
     return (
         keyed.join(kept, F.col("_key") == F.col("_kept"))
-        .dropDuplicates(["_key"])
+        .select("row", "_key", number.alias("_number"))
+        .dropDuplicates(["_key", "_number"])
         .select("row.*")
         .select(*df.columns)
     )

@@ -218,6 +218,17 @@ def test_one_row_of_each_group_stays(docs, no_docs):
     assert op7_jaccard.keep_one(no_docs).count() == 0
 
 
+def test_components_with_the_same_id_each_keep_a_row(spark):
+    """Null ids without a partner, an id given to different texts, and rows without shingles."""
+    texts = [prose(50 + i, 40) for i in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3])]
+    rows += [(6, texts[3]), (5, texts[4]), (9, texts[5]), (None, texts[5])]
+    rows += [(None, None), (None, None), (5, ""), (5, ""), (7, " \n")]
+    kept = op7_jaccard.keep_one(spark.createDataFrame(rows, "doc_id int, text string").repartition(4))
+    expected = [(None, texts[0]), (None, texts[1]), *((5, texts[i]) for i in (2, 3, 4)), (9, texts[5]), *rows[-5:]]
+    assert Counter(tuple(r) for r in kept.collect()) == Counter(expected)
+
+
 # --- Vectors
 
 
