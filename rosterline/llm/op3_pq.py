@@ -268,34 +268,35 @@ def near_vectors(
 ) -> DataFrame:
     """(id, n_links, component_id, kept) of every row; links are at `threshold` cosine or more.
 
-    A vector that is null, empty or zero, that holds null or a number that is not finite, or
-    that has another length than `dimension` (by default the commonest, of equals the
-    smallest) links with nothing. Equal vectors link; they are one vector with a weight from
-    the start, so copies are never compared with each other. Ids may be null or repeated; a
-    component's id is its smallest. An empty table gives no rows. The driver gets the sample
-    and a row per list.
+    A vector that is null, empty or zero, or that holds null or a number that is not finite,
+    links with nothing. Vectors link with others of their length; each length has an index of
+    its own, and lengths should be few. With `dimension`, only that length links. Equal
+    vectors link; they are one vector with a weight from the start, so copies are never
+    compared with each other. Ids may be null or repeated; a component's id is its smallest.
+    An empty table gives no rows. The driver gets a row per length, and of each length the
+    sample and a row per list.
     """
     rows = staged(_read(df, id_column, vector_column))
-    if dimension is None:
-        sizes = rows.filter("size is not null").groupBy("size").count()
-        commonest = sizes.orderBy(F.desc("count"), "size").first()
-        dimension = commonest["size"] if commonest else 0
-    fits = F.col("size") == dimension
-    rows = rows.withColumn("node", F.when(fits, F.col("node")))
+    if dimension is not None:
+        rows = rows.withColumn("node", F.when(F.col("size") == dimension, F.col("node")))
     distinct = staged(
         rows.filter("node is not null")
         .groupBy("node", "name")
-        .agg(F.count(F.lit(1)).alias("weight"), F.max("vector").alias("vector"))
-        .select("node", "weight", "vector")
+        .agg(F.count(F.lit(1)).alias("weight"), F.max("vector").alias("vector"), F.max("size").alias("size"))
+        .select("node", "weight", "vector", "size")
     )
-    total = distinct.count()
-    if total:
-        most = max(1, min(SAMPLE, SAMPLE_NUMBERS // dimension))
-        sample = distinct.orderBy(F.xxhash64("node"), "node").limit(most).select("vector").toArrow()
+    totals = {r["size"]: r["total"] for r in distinct.groupBy("size").agg(F.count("node").alias("total")).collect()}
+    radius = math.sqrt(2 - 2 * threshold)
+    links = None
+    for size, total in sorted(totals.items()):
+        vectors = distinct.filter(F.col("size") == size).select("node", "weight", "vector")
+        most = max(1, min(SAMPLE, SAMPLE_NUMBERS // size))
+        sample = vectors.orderBy(F.xxhash64("node"), "node").limit(most).select("vector").toArrow()
         index = Index(_units(sample.column(0)), total)
-        radius = math.sqrt(2 - 2 * threshold)
-        encoded = staged(_encoded(distinct, index, radius))
-        links = staged(_links(encoded, index, threshold, radius))
+        encoded = staged(_encoded(vectors, index, radius))
+        own = staged(_links(encoded, index, threshold, radius))
+        links = own if links is None else links.unionByName(own)
+    if links is not None:
         edges = links.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
         roots = linked_components(edges).withColumnRenamed("component", "root")
         counts = links.filter("other is null").groupBy("node").agg(F.sum("found").alias("links"))

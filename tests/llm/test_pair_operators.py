@@ -277,6 +277,15 @@ def test_links_equal_brute_force(spark, monkeypatch, block):
     assert Counter(tuple(r) for r in found) == vector_links(rows, 0.95, 16)
 
 
+def test_vectors_of_every_length_link(spark):
+    short, long = awkward_vectors(3, 8, 6), awkward_vectors(4, 12, 16)
+    rows = [(n, v) for n, v in short[:-11]] + [(n + 1000, v) for n, v in long[:-11]] + [(5000, [2.0]), (5001, [1.0])]
+    sizes = {len(v) for _, v in rows}
+    expected = sum((vector_links([r for r in rows if len(r[1]) == n], 0.95, n) for n in sizes), Counter())
+    found = op3_pq.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"))
+    assert Counter(tuple(r) for r in found.collect()) == expected
+
+
 def test_no_vectors_and_no_good_vectors(spark):
     none = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert op3_pq.near_vectors(none).count() == 0
