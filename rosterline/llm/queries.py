@@ -19,6 +19,9 @@ from rosterline.llm import (
     op8_fertility,
     op9_bpe,
     op10_pii,
+    op11_runs,
+    op12_urls,
+    op13_spelling,
     oracle,
 )
 from rosterline.llm.common import small_batches, table
@@ -74,8 +77,30 @@ def op10_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_pii.personal_report(table(spark, sf_dir, "documents"))
 
 
+def op11_scale_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = op11_runs.repeated_tail(F.col("doc_id"), F.col("text"))
+    return op11_runs.run_report(_documents(spark, sf_dir), text=text)
+
+
+URL_RULES = [
+    op12_urls.Rule("allow", "com/"),
+    op12_urls.Rule("block", "example.com/en/"),
+    op12_urls.Rule("allow", "www.example.com/en/"),
+    op12_urls.Rule("block", "net/es/"),
+    op12_urls.Rule("block", "net/fr/"),
+]
+
+
+def op12_markov_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_urls.url_report(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op13_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_spelling.variant_report(_documents(spark, sf_dir), change=op13_spelling.slip)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_subword_lattice, op2_classifier_chain, op3_product_quantisation, op4_best_two_fit, op5_trigram_index, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe, op10_weak_supervision]
+    named = [op1_subword_lattice, op2_classifier_chain, op3_product_quantisation, op4_best_two_fit, op5_trigram_index, op6_suffix_automata, op7_multi_order, op8_fertility_bands, op9_rank_array_bpe, op10_weak_supervision, op11_scale_tiles, op12_markov_ratio, op13_reduced_alphabet]
     return {f.__name__: f for f in named}
 
 
