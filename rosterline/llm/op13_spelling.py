@@ -3,9 +3,9 @@
 Every letter is hashed to one of a few symbols. Two words one edit apart are then at most
 one edit apart in symbols as well. So each word's reduced form is looked up together with
 its whole one-edit neighbourhood among the reduced vocabulary, and what meets there is
-verified on the original strings. Reduced words are 64-bit polynomial hashes, of which a
-neighbour's follows from a prefix and a suffix: a word of L letters costs some 2 * L *
-symbols numbers, however long it is.
+verified on the original strings. Words that reduce alike share a neighbourhood. Reduced
+words are 64-bit polynomial hashes, of which a neighbour's follows from a prefix and a
+suffix: a word of L letters costs some 2 * L * symbols numbers, however long it is.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from rosterline.llm.common import larger_batches, mixed, staged, utf8
 
 # Symbols that letters are hashed to: more make fewer false candidates, fewer make smaller
-# neighbourhoods.
-SYMBOLS = 8
+# neighbourhoods. Words of this many letters have as many reduced words as there are words.
+LEAST_SYMBOLS, USUAL = 4, 8
 # Neighbours in one batch on their way out of a task.
 BATCH_NEIGHBOURS = 200_000
 # A-Z, a-z and U+00C0 to U+00FF, which UTF-8 writes as C3 80 to C3 BF.
@@ -91,20 +91,17 @@ def word_counts(
     )
 
 
-def symbols_of(word: str, symbols: int) -> np.ndarray:
-    """The reduced word: a number from 1 to `symbols` for each letter."""
-    letters = np.frombuffer(word.encode("utf-32-le"), "<u4").astype(np.uint64)
-    return mixed(letters, 5) % np.uint64(symbols) + np.uint64(1)
+def symbols_for(n_words: int) -> int:
+    """The fewest symbols with as many reduced words of `USUAL` letters as there are words.
 
-
-def _hashes(values: np.ndarray, length) -> np.ndarray:
-    return mixed(values + np.asarray(length, np.uint64) * np.uint64(_BASE), 6).view(np.int64)
+    The vocabulary thus decides how large neighbourhoods are; what they find is the same.
+    """
+    return max(LEAST_SYMBOLS, next(s for s in range(2, 1 << 16) if s**USUAL >= n_words))
 
 
-def reduced_hash(code: np.ndarray) -> np.ndarray:
-    """The hash of one reduced word, as an array of one."""
-    powers = _powers(len(code))
-    return _hashes((code * powers[::-1]).sum(keepdims=True), len(code))
+def symbols_of(words: np.ndarray, symbols: int) -> np.ndarray:
+    """Reduced words: for each code point of a matrix of letters a number from 1 to `symbols`."""
+    return mixed(words.astype(np.uint64), 5) % np.uint64(symbols) + np.uint64(1)
 
 
 def _powers(n: int) -> np.ndarray:
@@ -113,102 +110,136 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(values)
 
 
-def neighbourhood(code: np.ndarray, symbols: int) -> np.ndarray:
-    """Distinct hashes of a reduced word and of all reduced words one edit from it."""
-    n = len(code)
+def _hashes(values: np.ndarray, length: int) -> np.ndarray:
+    return mixed(values + np.asarray(length, np.uint64) * np.uint64(_BASE), 6).view(np.int64)
+
+
+def reduced_hashes(codes: np.ndarray) -> np.ndarray:
+    """The hash of each reduced word, the rows of a matrix."""
+    n = codes.shape[1]
+    return _hashes((codes * _powers(n)[::-1]).sum(axis=1), n)
+
+
+def neighbourhoods(codes: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash): distinct hashes of each reduced word and of all reduced words one edit from it."""
+    rows, n = codes.shape
     powers = _powers(n + 1)
     weight = powers[:n][::-1]  # of each place, the last one 1
-    terms = code * weight
-    total = terms.sum(keepdims=True)
-    before = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])  # of the first i places
+    terms = codes * weight
+    none = np.zeros((rows, 1), np.uint64)
+    before = np.concatenate([none, np.cumsum(terms, axis=1)], axis=1)  # of the first i places
+    total = before[:, -1:]
     after = total - before
     # What stands before a dropped place weighs one power less: it is summed by itself.
-    shorter = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code[:-1] * weight[1:])])
+    shorter = np.concatenate([none, np.cumsum(codes[:, :-1] * weight[1:], axis=1)], axis=1)
     choice = np.arange(1, symbols + 1, dtype=np.uint64)
-    dropped = shorter + after[1:]
-    replaced = (total - terms)[:, None] + choice * weight[:, None]
-    longer = before * np.uint64(_BASE)
-    inserted = (longer + after)[:, None] + choice * powers[::-1][:, None]
-    return np.unique(
-        np.concatenate(
-            [
-                _hashes(dropped, n - 1),
-                _hashes(replaced.ravel(), n),
-                _hashes(inserted.ravel(), n + 1),
-            ]
-        )
+    dropped = shorter + after[:, 1:]
+    replaced = (total - terms)[:, :, None] + choice * weight[:, None]
+    inserted = (before * np.uint64(_BASE) + after)[:, :, None] + choice * powers[::-1][:, None]
+    found = np.concatenate(
+        [
+            _hashes(dropped, n - 1),
+            _hashes(replaced.reshape(rows, -1), n),
+            _hashes(inserted.reshape(rows, -1), n + 1),
+        ],
+        axis=1,
     )
+    found.sort(axis=1)
+    new = np.ones(found.shape, bool)
+    new[:, 1:] = found[:, 1:] != found[:, :-1]
+    return np.nonzero(new)[0], found[new]
+
+
+def letter_sets(words: np.ndarray) -> np.ndarray:
+    """The letters of words as sets of 64 bits, of which one edit changes two at most."""
+    bits = np.uint64(1) << (mixed(words.astype(np.uint64), 7) % np.uint64(64))
+    return np.bitwise_or.reduce(bits, axis=1).view(np.int64)
 
 
-def letter_set(word: str) -> int:
-    """The letters of a word as a set of 64 bits, of which one edit changes two at most."""
-    letters = np.frombuffer(word.encode("utf-32-le"), "<u4").astype(np.uint64)
-    bits = np.uint64(1) << (mixed(letters, 7) % np.uint64(64))
-    return int(np.bitwise_or.reduce(bits).view(np.int64))
+def _by_length(words: list, letter: str, cells: int) -> Iterable[tuple[np.ndarray, np.ndarray]]:
+    """(indexes, matrix): words of one length together, each letter a cell; few words where they are long."""
+    width = np.dtype(letter).itemsize
+    lengths = np.array([len(w) for w in words], np.int64) // width
+    for n in np.unique(lengths[lengths > 0]).tolist():
+        own = np.flatnonzero(lengths == n)
+        step = max(1, cells // n)
+        for i in range(0, len(own), step):
+            part = own[i : i + step]
+            yield part, np.frombuffer(b"".join(words[k] for k in part.tolist()), letter).reshape(-1, n)
 
 
-def _looked_up(words: DataFrame, symbols: int, whole: bool) -> DataFrame:
-    """(hash, id, letters) of (id, word): the reduced word's hash, or those of its whole neighbourhood."""
+_CODED = "word string, n bigint, code binary, hash bigint, letters bigint"
+
+
+def _coded(words: DataFrame, symbols: int) -> DataFrame:
+    """(word, n, code, hash, letters): words with their reduced words, a symbol in two bytes each."""
 
     def rows(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
-            ids, held, size = batch.column(0).to_numpy(), [], 0
-            for at, word in enumerate(batch.column(1).to_pylist()):
-                code = symbols_of(word, symbols)
-                hashes = neighbourhood(code, symbols) if whole else reduced_hash(code)
-                held.append((hashes, ids[at], letter_set(word)))
-                size += len(hashes)
-                if size >= BATCH_NEIGHBOURS:
-                    yield spread(held)
-                    held, size = [], 0
-            if held:
-                yield spread(held)
-
-    def spread(held):
-        sizes = [len(x[0]) for x in held]
-        repeated = [np.repeat(np.array([x[i] for x in held], np.int64), sizes) for i in (1, 2)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (np.concatenate([x[0] for x in held]), *repeated)],
-            names=["hash", "id", "letters"],
-        )
+            letters = [w.encode("utf-32-le") for w in batch.column(0).to_pylist()]
+            size = len(letters)
+            codes, hashes, sets = [b""] * size, np.zeros(size, np.int64), np.zeros(size, np.int64)
+            for part, matrix in _by_length(letters, "<u4", BATCH_NEIGHBOURS):
+                reduced = symbols_of(matrix, symbols)
+                hashes[part], sets[part] = reduced_hashes(reduced), letter_sets(matrix)
+                for k, row in zip(part.tolist(), reduced.astype("<u2"), strict=True):
+                    codes[k] = row.tobytes()
+            columns = [pa.array(codes, pa.binary()), pa.array(hashes), pa.array(sets)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *columns], names=["word", "n", "code", "hash", "letters"]
+            )
+
+    return words.select("word", "n").mapInArrow(rows, _CODED)
+
+
+def _neighbours(classes: DataFrame, symbols: int) -> DataFrame:
+    """(near, hash): the hashes of a reduced word's whole neighbourhood, and its own."""
+
+    def rows(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            own = batch.column(0).to_numpy()
+            cells = max(1, BATCH_NEIGHBOURS // (2 * symbols + 1))
+            for part, codes in _by_length(batch.column(1).to_pylist(), "<u2", cells):
+                row, near = neighbourhoods(codes.astype(np.uint64), symbols)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(near), pa.array(own[part][row])], names=["near", "hash"]
+                )
 
-    return words.select("id", "word").mapInArrow(rows, "hash bigint, id bigint, letters bigint")
+    return classes.select("hash", "code").mapInArrow(rows, "near bigint, hash bigint")
 
 
-def near_words(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
+def near_words(words: DataFrame, symbols: int) -> DataFrame:
     """(word, n, other, other_n): all ordered pairs of words exactly one edit apart.
 
-    `words` has distinct words with their counts. Neighbours carry a number instead of the
-    word, and words are fetched only for pairs that may differ by one letter.
+    `words` has distinct words with their counts. Words of the same reduced word have one
+    neighbourhood between them, of which rows hold two numbers.
     """
-    words = words.select(F.xxhash64("word").alias("id"), "word", "n")
-    asking = _looked_up(words, symbols, whole=True)
-    known = _looked_up(words, symbols, whole=False)
-    known = known.select("hash", F.col("id").alias("other_id"), F.col("letters").alias("other_letters"))
+    coded = staged(_coded(words, symbols))
+    asking = _neighbours(coded.select("hash", "code").distinct(), symbols)
+    own = coded.select("hash", "word", "n", "letters")
+    others = own.toDF("near", "other", "other_n", "other_letters")
     alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("other_letters"))) <= 2
-    maybe = asking.join(known, "hash").filter("id <> other_id").filter(alike).select("id", "other_id")
-    others = words.toDF("other_id", "other", "other_n")
     return (
-        maybe.join(words, "id")
-        .join(others, "other_id")
-        .filter(F.levenshtein("word", "other", 1) == 1)
+        asking.join(others, "near")
+        .join(own, "hash")
+        .filter(alike & (F.col("word") != F.col("other")) & (F.levenshtein("word", "other", 1) == 1))
         .select("word", "n", "other", "other_n")
     )
 
 
-def spelling_variants(words: DataFrame, symbols: int = SYMBOLS, times: int = 2) -> DataFrame:
+def spelling_variants(words: DataFrame, symbols: int | None = None, times: int = 2) -> DataFrame:
     """(word, form, root, n, n_near, form_n): the commoner word that each may be a slip of.
 
     A word's form is its near word of largest count, the first in code-point order of equal
-    ones, if that is at least `times` the word's own; `root` is where forms lead to. No
-    words give no rows. Counts at least double along a chain of forms, so chains are short,
+    ones, if that is at least `times` the word's own; `root` is where forms lead to. `symbols`
+    follow from the number of words unless given, and change no result. No words give no rows. Counts at least double along a chain of forms, so chains are short,
     and every round of joins doubles what each word has followed.
     """
     if times < 2:
         raise ValueError("times must be at least 2")
     words = staged(words)
     best = (
-        near_words(words, symbols)
+        near_words(words, symbols or symbols_for(words.count()))
         .groupBy("word")
         .agg(
             F.count("*").alias("n_near"),

@@ -337,16 +337,22 @@ def test_chains_of_forms(spark):
 
 
 def test_neighbourhoods_hold_every_edit():
-    rng = random.Random(1)
-    for _ in range(100):
-        code, symbols = [rng.randint(1, 3) for _ in range(rng.randint(1, 7))], 3
-        edits = {tuple(code)}
-        for i in range(len(code) + 1):
-            edits |= {(*code[:i], s, *code[i:]) for s in range(1, symbols + 1)}
-            edits |= {(*code[:i], s, *code[i + 1 :]) for s in range(1, symbols + 1) if i < len(code)}
-            edits |= {(*code[:i], *code[i + 1 :])}
-        hashes = {int(op13_spelling.reduced_hash(np.array(e, np.uint64))[0]) for e in edits}
-        assert set(op13_spelling.neighbourhood(np.array(code, np.uint64), symbols).tolist()) == hashes
+    rng, symbols = random.Random(1), 3
+    for n in (1, 2, 3, 5, 7):
+        codes = [[rng.randint(1, 3) for _ in range(n)] for _ in range(30)]
+        row, found = op13_spelling.neighbourhoods(np.array(codes, np.uint64), symbols)
+        for k, code in enumerate(codes):
+            edits = {tuple(code)}
+            for i in range(n + 1):
+                edits |= {(*code[:i], s, *code[i:]) for s in range(1, symbols + 1)}
+                edits |= {(*code[:i], s, *code[i + 1 :]) for s in range(1, symbols + 1) if i < n}
+                edits |= {(*code[:i], *code[i + 1 :])}
+            hashes = {int(op13_spelling.reduced_hashes(np.array([e], np.uint64))[0]) for e in edits}
+            assert sorted(found[row == k].tolist()) == sorted(hashes)
+
+
+def test_symbols_follow_the_vocabulary():
+    assert [op13_spelling.symbols_for(n) for n in (0, 60_000, 70_000, 10**9)] == [4, 4, 5, 14]
 
 
 def test_awkward_texts_and_no_words(docs, spark):
