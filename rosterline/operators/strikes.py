@@ -182,3 +182,31 @@ def strike_decay(strike_rows: DataFrame, flags: DataFrame, as_of: dt.datetime) -
         "employee_id", F.lit(0).cast("bigint").alias("strike_count")
     )
     return strike_updates(strike_rows, counts.unionByName(quiet))
+
+
+def strike_standing(
+    strikes: DataFrame, flags: DataFrame, as_of: dt.datetime, days: int = FLAG_DAYS, cap: int = STRIKE_CAP
+) -> DataFrame:
+    """Strike rows as the keyed stream leaves them once its clock stands at `as_of`.
+
+    Whoever had `cap` flags within any `days` is struck out and stays so; of all others the
+    flags in the last `days` count. Each step reached is priced from the salary.
+    """
+    struck = (
+        trailing_flag_count(flags, days)
+        .groupBy("employee_id")
+        .agg((F.max("strike_count") >= cap).alias("_struck"))
+        .withColumnRenamed("employee_id", "_emp")
+    )
+    counts = rolling_flag_count(flags, as_of, days).withColumnRenamed("employee_id", "_counted")
+    now = F.when(F.col("_struck"), F.lit(cap)).otherwise(F.coalesce("strike_count", F.lit(0)))
+    standing = (
+        strikes.join(struck, F.col("employee_id") == F.col("_emp"), "left")
+        .join(counts, F.col("employee_id") == F.col("_counted"), "left")
+        .withColumn("no_of_strikes", now.cast("int"))
+    )
+    steps = [
+        F.when(F.col("no_of_strikes") >= i, step_price(F.col("salary"), i)).alias(step)
+        for i, step in enumerate(STRIKE_STEPS, 1)
+    ]
+    return standing.select("employee_id", "salary", *steps, "no_of_strikes")

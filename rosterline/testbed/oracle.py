@@ -308,6 +308,28 @@ STREAMED = {
     "relisted": _ladder("unstruck", "counts"),
 }
 
+_DAY = "CAST((conv_id * 7 + turn * 13) % 60 AS INTEGER)"
+KEYED = {
+    **WORDS,
+    "dated": f"SELECT employee_id, turn, {_DAY} AS day, TIMESTAMP '2023-12-20' + to_days({_DAY}) AS sent_at FROM flagged",
+    "early": "SELECT * FROM dated WHERE day < 45 AND turn % 3 <> 0",
+    # A record that is not in the first run counts unless the clock has passed it.
+    "known": (
+        "SELECT * FROM early UNION ALL SELECT * FROM dated WHERE (day >= 45 OR turn % 3 = 0)"
+        " AND coalesce(sent_at > (SELECT max(sent_at) FROM early) - INTERVAL 2 DAYS, true)"
+    ),
+    "windowed": (
+        "SELECT employee_id, sent_at, count(*) OVER (PARTITION BY employee_id ORDER BY sent_at"
+        " RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW) AS n FROM known"
+    ),
+    "counts": (
+        "SELECT employee_id, CASE WHEN max(n) >= 10 THEN 10 ELSE count(*) FILTER"
+        " (sent_at >= (SELECT max(sent_at) FROM dated) - INTERVAL 32 DAYS) END AS strike_count FROM windowed GROUP BY employee_id"
+    ),
+    "unstruck": UNSTRUCK,
+    "relisted": _ladder("unstruck", "counts"),
+}
+
 SYNC = {
     **FULL,
     **MID,
@@ -515,6 +537,11 @@ ORACLE = {
         " WHERE employee_id NOT IN (SELECT employee_id FROM relisted)",
         **STREAMED,
     ),
+    "strike_keyed_stream": _with(
+        "SELECT * FROM relisted UNION ALL SELECT * FROM unstruck"
+        " WHERE employee_id NOT IN (SELECT employee_id FROM relisted)",
+        **KEYED,
+    ),
     "load_csv_once": f"SELECT DISTINCT * FROM ({EMPLOYEES}) WHERE balance > 0",
     "csv_with_schema": f"SELECT name, age, emp_id FROM ({PEOPLE})",
     "csv_without_header": (

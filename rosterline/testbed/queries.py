@@ -12,6 +12,12 @@ from rosterline.functions.dates import SECONDS_PER_DAY
 from rosterline.operators import cleaning, keyed, leaves, messages, reports, strikes, timeline
 from rosterline.session import configure
 from rosterline.sources.sinks import stage
+from rosterline.streaming.keyed_strikes import (
+    current_strikes,
+    read_flags,
+    start_flag_stream,
+    start_keyed_strikes,
+)
 from rosterline.streaming.strike_stream import StrikeState, start_strike_stream, strike_batch
 from rosterline.testbed import roundtrips
 from rosterline.testbed import tables as t
@@ -315,6 +321,46 @@ def strike_stream(spark, sf):
     return state.strikes_before(spark, query.lastProgress["batchId"] + 1)
 
 
+def strike_keyed_stream(spark, sf):
+    """Conversations as two streams, of which the second run brings late and repeated messages.
+
+    The first run has most messages of the first 45 days, the second a part of them again,
+    those left out, and all later ones. What is older than the clock of the first run is late.
+    """
+    folder, position = t.scratch(spark), ["conv_id", "turn"]
+    offset = ((F.col("conv_id") * 7 + F.col("turn") * 13) % 60).cast("int")
+    at = (F.lit("2023-12-20").cast("timestamp_ntz") + F.make_dt_interval(offset)).cast("timestamp")
+    sent = t.json_messages(spark, sf).withColumns({"at": at, "day": offset})
+    early, third = F.col("day") < 45, F.col("turn") % 3
+    runs = [sent.filter(early & (third != 0)), sent.filter(~early | (third != 2))]
+    schema = sent.drop("day").schema
+    strikes = t.unstruck(spark, sf)
+    vocab = stage(t.vocabulary(spark, sf), f"{folder}/vocabulary")
+    marked = stage(t.marked_words(spark, sf), f"{folder}/marked")
+    for rows in runs:
+        rows.drop("day").write.mode("append").parquet(f"{folder}/sent")
+        start_flag_stream(
+            spark.readStream.schema(schema).parquet(f"{folder}/sent"),
+            vocab,
+            marked,
+            f"{folder}/flags",
+            f"{folder}/flagging",
+            position,
+            "at",
+            interval=None,
+        ).awaitTermination()
+        start_keyed_strikes(
+            read_flags(spark, f"{folder}/flags", "conv_id bigint, turn bigint"),
+            strikes,
+            f"{folder}/changes",
+            f"{folder}/striking",
+            position,
+            "2 days",
+            None,
+        ).awaitTermination()
+    return current_strikes(spark, f"{folder}/changes", strikes)
+
+
 ALL = [
     clean_required,
     stamp_load_date,
@@ -365,6 +411,7 @@ ALL = [
     strike_updates,
     strike_batch_update,
     strike_stream,
+    strike_keyed_stream,
     *roundtrips.ALL,
 ]
 
