@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from rosterline import schemas
 from rosterline.operators import cleaning, keyed, leaves, reports, strikes, timeline
 from rosterline.sources import files, sinks
+from rosterline.sources.versions import Version, VersionedTable
+from rosterline.streaming import incremental
 
 Sink = Callable[[DataFrame], None]
 
@@ -94,6 +96,95 @@ def refresh_timeline(
     return True
 
 
+def refresh_touched(
+    raw: DataFrame,
+    struck: DataFrame,
+    table: VersionedTable,
+    version: str,
+    as_of: dt.date,
+    sink: Sink = _no_sink,
+) -> bool:
+    """`refresh_timeline` that rewrites only the buckets in which a row changes.
+
+    These are the buckets of employees with fresh rows, and of struck-out ones with an open
+    row; repeating a load therefore rewrites nothing. Whether there is input shows in what is
+    staged, so the source is read a second time only where nothing came of it. The sink gets
+    the rewritten buckets.
+    """
+    spark = raw.sparkSession
+    typed = raw.withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
+    staging = f"{table.root.rstrip('/')}/_staging"
+    built = timeline.timeline_build(typed, struck).select(*schemas.TIMELINE.fieldNames())
+    load = sinks.stage(built, f"{staging}/load")
+    if load.isEmpty() and raw.isEmpty():
+        return False
+    base = table.before(spark, version)
+    if not base.number:
+        published = table.publish(timeline.rebuild_chain(load), version)
+        sink(table.read(spark, published))
+        return True
+    stored = table.read(spark, base, table.touched(load))
+    fresh = sinks.stage(timeline.fresh_rows(stored, load), f"{staging}/fresh")
+    touched = table.touched(fresh) | _open_buckets(spark, struck, table, base)
+    merged = timeline.merge_fresh(table.read(spark, base, touched), fresh)
+    published = table.publish(timeline.deactivate_ids(merged, struck, as_of), version, base, touched)
+    sink(table.read(spark, published, touched))
+    return True
+
+
+def _open_buckets(spark: SparkSession, struck: DataFrame, table: VersionedTable, base: Version) -> set[int]:
+    """Buckets with an open row of a struck-out employee."""
+    rows = table.read(spark, base).filter(F.col("status") == timeline.ACTIVE).select("emp_id")
+    return table.touched(keyed.only_ids(rows, struck, "emp_id", "employee_id"))
+
+
+def close_touched(
+    spark: SparkSession,
+    struck: DataFrame,
+    table: VersionedTable,
+    version: str,
+    as_of: dt.date,
+    sink: Sink = _no_sink,
+) -> None:
+    """`close_struck_out` that rewrites only the buckets with a row to close."""
+    base = table.before(spark, version)
+    touched = _open_buckets(spark, struck, table, base)
+    closed = timeline.deactivate_ids(table.read(spark, base, touched), struck, as_of)
+    published = table.publish(closed, version, base, touched)
+    sink(table.read(spark, published, touched))
+
+
+def refresh_from_inbox(
+    spark: SparkSession,
+    inbox: str,
+    archive: str,
+    checkpoint: str,
+    struck: DataFrame,
+    table: VersionedTable,
+    as_of: dt.date,
+    sink: Sink = _no_sink,
+    max_files: int | None = None,
+) -> None:
+    """Merge the timeframe files that have arrived, each once, and move them to the archive.
+
+    Every batch of files is a version of its own, named by the batch, and its files are moved
+    once that version is published. After a failure a batch comes again: if its version is
+    there only the moving is left to do, else it is merged anew.
+    """
+
+    def load(rows: DataFrame, batch: int) -> None:
+        name = f"files-{batch}"
+        if table.before(spark, name).number == table.current(spark).number:  # not published yet
+            incremental.list_files(rows, "source_file", listed, batch)
+            refresh_touched(rows.drop("source_file"), struck, table, name, as_of, sink)
+        incremental.archive_files(spark, listed, batch, archive)
+
+    listed = f"{checkpoint.rstrip('/')}-files"
+    incremental.incremental_csv(
+        spark, inbox, schemas.TIMEFRAME_RAW, load, checkpoint, max_files=max_files, lineage="source_file"
+    ).awaitTermination()
+
+
 def refresh_leaves(
     spark: SparkSession,
     source: str,

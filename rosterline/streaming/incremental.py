@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rosterline.operators.keyed import distinct_rows, new_rows_only
-from rosterline.sources.files import read_or_empty
+from rosterline.sources.files import read_or_empty, with_lineage
 
 
 def incremental_csv(
@@ -22,9 +22,11 @@ def incremental_csv(
     archive: str | None = None,
     header: bool = True,
     max_files: int | None = None,
+    lineage: str | None = None,
 ) -> StreamingQuery:
     """Pass the files that arrived since the last run to `sink(rows, batch id)`.
 
+    With `lineage` the rows have a column of that name with the file they are from.
     The checkpoint remembers which files are done. With `archive`, done files are
     moved there by a later run, once their batch is committed. The sink should write
     by batch id, since a batch may be repeated after a failure, and must not depend on
@@ -35,8 +37,9 @@ def incremental_csv(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    rows = reader.csv(directory)
     return (
-        reader.csv(directory)
+        (with_lineage(rows, lineage) if lineage else rows)
         .writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -63,3 +66,33 @@ def distinct_sink(
         added.write.mode("overwrite").parquet(f"{table.rstrip('/')}/batch={batch}")
 
     return sink
+
+
+def list_files(rows: DataFrame, lineage: str, ledger: str, batch: int) -> None:
+    """Write down which files a batch has rows of: a row per file, in a directory of the batch."""
+    paths = rows.select(F.col(lineage).alias("path")).distinct()
+    paths.write.mode("overwrite").parquet(f"{ledger.rstrip('/')}/batch={batch}")
+
+
+def archive_files(spark: SparkSession, ledger: str, batch: int, archive: str) -> int:
+    """Move the listed files of a batch to a directory of it in the archive; returns how many moved.
+
+    Files that have moved already are passed over, so it may be called again.
+    """
+    listed = read_or_empty(spark, f"{ledger.rstrip('/')}/batch={batch}", _LISTED)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    target = path_of(f"{archive.rstrip('/')}/batch={batch}")
+    moved = 0
+    for row in listed.toLocalIterator():
+        # File names come encoded as URIs.
+        source = path_of(spark._jvm.java.net.URI(row.path))
+        system = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(source):
+            system.mkdirs(target)
+            if not system.rename(source, path_of(target, source.getName())):
+                raise OSError(f"{row.path} cannot be moved to {archive}")
+            moved += 1
+    return moved
+
+
+_LISTED = T.StructType([T.StructField("path", T.StringType())])

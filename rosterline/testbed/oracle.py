@@ -160,6 +160,19 @@ MERGED = {
     "rebuilt": _largest("chained", "emp_id, start_date, end_date", "salary DESC, designation DESC"),
 }
 
+# The first load with everyone, and who is struck out by the time of the second.
+OPEN_FIRST = {
+    "nobody": EVERYONE["nobody"],
+    **MERGED,
+    **_build("first_load", "'F', 'O'", "nobody"),
+    "merged_rows": (
+        "SELECT emp_id, designation, start_date, end_date, salary, status FROM rebuilt UNION ALL"
+        " SELECT emp_id, designation, start_date, end_date, salary, status FROM first_load"
+        " WHERE emp_id NOT IN (SELECT emp_id FROM fresh)"
+    ),
+    "closed": EVERYONE["closed"].replace("FROM everyone", "FROM merged_rows"),
+}
+
 # ---- leave ----
 
 LEDGER = {
@@ -420,6 +433,13 @@ ORACLE = {
         **MERGED,
     ),
     "deactivate_ids": _with(f"SELECT {TIMELINE_COLUMNS} FROM closed", **EVERYONE),
+    "refresh_touched": _with(f"SELECT {TIMELINE_COLUMNS} FROM closed", **OPEN_FIRST),
+    "timeline_inbox": _with(
+        f"SELECT {TIMELINE_COLUMNS}, CAST(0 AS BIGINT) AS files_left FROM rebuilt UNION ALL"
+        f" SELECT {TIMELINE_COLUMNS}, CAST(0 AS BIGINT) AS files_left FROM first_load"
+        " WHERE emp_id NOT IN (SELECT emp_id FROM fresh)",
+        **MERGED,
+    ),
     "merge_first_non_null": _with(
         "SELECT coalesce(s.emp_id, t.emp_id) AS emp_id, coalesce(s.start_date, t.start_date) AS start_date,"
         " coalesce(s.end_date, t.end_date) AS end_date,"

@@ -12,6 +12,7 @@ from rosterline import schemas
 from rosterline.operators import cleaning, messages
 from rosterline.plans import jobs
 from rosterline.sources import files, sinks
+from rosterline.sources.versions import VersionedTable
 from rosterline.streaming.incremental import distinct_sink, incremental_csv
 from rosterline.testbed import tables as t
 
@@ -166,6 +167,36 @@ def reload_leaves(spark, sf):
     return files.read_or_empty(spark, tables[1], schemas.LEAVE_LEDGER).drop("ingest_timestamp")
 
 
+def _versioned(folder: str) -> VersionedTable:
+    return VersionedTable(f"{folder}/timeline", schemas.TIMELINE, "emp_id", 16, ["status"])
+
+
+def refresh_touched(spark, sf):
+    """The second load merged into the first by touched buckets, twice, with people struck out since."""
+    folder = t.scratch(spark)
+    table, struck = _versioned(folder), t.struck(spark, sf)
+    first = _csv(t.timeframe(spark, sf, t.FIRST_LOAD), f"{folder}/first")
+    second = _csv(t.timeframe(spark, sf, t.SECOND_LOAD), f"{folder}/second")
+    for version, path, ids in (("1", first, struck.filter("false")), ("2", second, struck), ("3", second, struck)):
+        raw = files.read_csv(spark, path, schemas.TIMEFRAME_RAW)
+        jobs.refresh_touched(raw, ids, table, version, t.STRUCK_ON)
+    return table.read(spark)
+
+
+def timeline_inbox(spark, sf):
+    """Both loads as files in an inbox, merged as they arrive; with them the number of files left."""
+    folder = t.scratch(spark)
+    table, struck = _versioned(folder), t.struck(spark, sf)
+    for load in (t.FIRST_LOAD, t.SECOND_LOAD):
+        _csv(t.timeframe(spark, sf, load), f"{folder}/inbox")
+        jobs.refresh_from_inbox(
+            spark, f"{folder}/inbox", f"{folder}/archive", f"{folder}/checkpoint", struck, table, t.STRUCK_ON
+        )
+    left = files.read_csv(spark, f"{folder}/inbox", schemas.TIMEFRAME_RAW)
+    names = left.agg(F.count_distinct(F.col("_metadata.file_path"))).first()[0]
+    return table.read(spark).withColumn("files_left", F.lit(names).cast("bigint"))
+
+
 def merge_headcount(spark, sf):
     """Headcounts of the first load, and over them those of the second without one designation."""
     folder = t.scratch(spark)
@@ -215,6 +246,8 @@ ALL = [
     load_csv_once,
     reload_employees,
     reload_leaves,
+    refresh_touched,
+    timeline_inbox,
     merge_headcount,
     merge_into_target,
     empty_input,
