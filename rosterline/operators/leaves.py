@@ -83,6 +83,38 @@ def settle(records: DataFrame, ts: str = "ingest_timestamp") -> DataFrame:
     )
 
 
+VOTE_KEYS = ["emp_id", "date"]
+_NEWEST = {ACTIVE: "newest_active", CANCELLED: "newest_cancelled"}
+
+
+def leave_votes(records: DataFrame, ts: str = "ingest_timestamp") -> DataFrame:
+    """Votes per employee and day as a partial result: both counts, and the newest row of either status.
+
+    Partial results of several loads add up with `merge_votes`, so records need not be read
+    again when others come in.
+    """
+    rest = [ts, *others(records, [*VOTE_KEYS, "status", ts])]
+    newest = [F.max(F.when(_is(status), F.struct(*rest))).alias(name) for status, name in _NEWEST.items()]
+    return records.groupBy(*VOTE_KEYS).agg(*_votes(), *newest)
+
+
+def merge_votes(votes: DataFrame) -> DataFrame:
+    """Partial results of several loads as one per employee and day."""
+    counts = [F.sum(c).alias(c) for c in ("cancelled_count", "active_count")]
+    return votes.groupBy(*VOTE_KEYS).agg(*counts, *[F.max(name).alias(name) for name in _NEWEST.values()])
+
+
+def settle_votes(votes: DataFrame) -> DataFrame:
+    """What `settle` makes of the records behind merged votes."""
+    verdict = _verdict()
+    winner = F.when(verdict == CANCELLED, F.col(_NEWEST[CANCELLED])).otherwise(F.col(_NEWEST[ACTIVE]))
+    return (
+        votes.select(*VOTE_KEYS, verdict.alias("status"), winner.alias("_row"))
+        .filter(F.col("_row").isNotNull())
+        .select(*VOTE_KEYS, "status", "_row.*")
+    )
+
+
 def with_ingest(df: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Stamp the load day and the load time."""
     return df.withColumns(

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterline import schemas
+from rosterline.functions.rows import same
 from rosterline.operators import cleaning, keyed, leaves, reports, strikes, timeline
 from rosterline.sources import files, sinks
 from rosterline.sources.versions import Version, VersionedTable
@@ -224,16 +225,67 @@ def refresh_leaves(
         records = stored.filter(pruned).select(*schemas.LEAVE_EVENT.fieldNames())
         settled = leaves.settle(records).withColumns({"year": F.year("date"), "month": F.month("date")})
         sinks.overwrite_partitions(settled, ledger, months)
-        for year, month in touched - months_of(stored.filter(pruned)):
-            sinks.replace_partition(
-                spark.createDataFrame([], schemas.LEAVE_LEDGER),
-                ledger,
-                {"year": str(year), "month": str(month)},
-            )
+        emptied = touched - months_of(stored.filter(pruned))
+        sinks.remove_partitions(spark, ledger, [{"year": str(y), "month": str(m)} for y, m in emptied])
     sink(files.read_or_empty(spark, ledger, schemas.LEAVE_LEDGER))
     return True
 
 
+def refresh_leave_votes(
+    raw: DataFrame,
+    calendar: DataFrame,
+    timeline_rows: DataFrame,
+    votes: str,
+    ledger: VersionedTable,
+    as_of: dt.datetime,
+    sink: Sink = _no_sink,
+) -> bool:
+    """`refresh_leaves` from votes kept by load day, so that no earlier record is read again.
+
+    A load adds its votes per employee and day; one that corrects a day replaces that day's
+    votes. Settled again are the employees and days that it has votes for or had before, from
+    the votes of all days in their buckets. Which these are is written down first, so that
+    a load that broke off is finished by the next one of its day. The sink gets the
+    rewritten buckets of the ledger.
+    """
+    spark, day = raw.sparkSession, f"{as_of:%Y-%m-%d}"
+    root, keys = votes.rstrip("/"), leaves.VOTE_KEYS
+    typed = raw.withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
+    kept = leaves.with_ingest(leaves.leave_events(typed, calendar, timeline_rows), as_of)
+    new = sinks.stage(leaves.leave_votes(kept), f"{root}/_staging/{day}")
+    if new.isEmpty() and raw.isEmpty():
+        return False
+    stored = T.StructType([*schemas.LEAVE_VOTES.fields, *_PLACE.fields])
+    old = files.read_or_empty(spark, f"{root}/days", stored).filter(F.col("ingest_day") == day)
+    changed = T.StructType([schemas.LEAVE_VOTES[key] for key in keys])
+    pending = sinks.partition_path(f"{root}/pending", {"day": day})
+    touched = old.select(*keys).unionByName(new.select(*keys)).distinct()
+    touched.write.mode("append").parquet(pending)
+    touched = spark.read.schema(changed).parquet(pending).distinct()
+    placed = new.withColumn("bucket", ledger.bucket())
+    sinks.replace_partition(placed, f"{root}/days", {"ingest_day": day}, ["bucket"])
+
+    buckets = ledger.touched(touched)
+    known = files.read_or_empty(spark, f"{root}/days", stored).filter(F.col("bucket").isin(*buckets))
+    settled = leaves.settle_votes(leaves.merge_votes(_of_keys(known, touched, keys, "left_semi")))
+    dated = settled.withColumns({"year": F.year("date"), "month": F.month("date")})
+    base = ledger.current(spark)
+    others = _of_keys(ledger.read(spark, base, buckets), touched, keys, "left_anti")
+    rows = others.unionByName(dated.select(*others.columns))
+    published = ledger.publish(rows, day, base, buckets)
+    sinks.remove_partitions(spark, f"{root}/pending", [{"day": day}])
+    sink(ledger.read(spark, published, buckets))
+    return True
+
+
+_PLACE = T.StructType([T.StructField("ingest_day", T.StringType()), T.StructField("bucket", T.IntegerType())])
+
+
+def _of_keys(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Rows whose key is listed, or is not; NULL keys match."""
+    return rows.alias("r").join(keys.alias("k"), same("r", "k", list(names)), how)
+
+
 def report_headcount(
     timeline_rows: DataFrame, table: str, run_date: dt.date, sink: Sink = _no_sink
 ) -> None:

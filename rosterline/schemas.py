@@ -25,6 +25,16 @@ LEAVE_EVENT = _struct(
     emp_id=BIGINT, date=DATE, status=STRING, ingest_date=STRING, ingest_timestamp=TIMESTAMP
 )
 LEAVE_LEDGER = T.StructType([*LEAVE_EVENT.fields, *_struct(year=INT, month=INT).fields])
+# What a load knows of the votes for an employee and day.
+_NEWEST_RECORD = _struct(ingest_timestamp=TIMESTAMP, ingest_date=STRING)
+LEAVE_VOTES = _struct(
+    emp_id=BIGINT,
+    date=DATE,
+    cancelled_count=BIGINT,
+    active_count=BIGINT,
+    newest_active=_NEWEST_RECORD,
+    newest_cancelled=_NEWEST_RECORD,
+)
 CALENDAR_RAW = _struct(reason=STRING, date=TIMESTAMP)
 CALENDAR = _struct(reason=STRING, date=DATE, year=INT)
 QUOTA = _struct(emp_id=INT, leave_quota=INT, year=INT)

@@ -32,9 +32,18 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_words(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct words of JSON files that each hold one array of strings."""
-    text = spark.read.text(path, wholetext=True)
-    return text.select(F.explode(F.from_json("value", "array<string>")).alias("word")).distinct()
+    """Distinct words of JSON files that hold arrays of strings, in any layout.
+
+    Files are read by line and so in parts: a JSON string never spans lines, whether its
+    array stands on one line or on many.
+    """
+    strings = F.regexp_extract_all("value", F.lit(r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'), F.lit(0))
+    array = F.concat(F.lit("["), F.array_join(strings, ","), F.lit("]"))
+    return (
+        spark.read.text(path)
+        .select(F.explode(F.from_json(array, "array<string>")).alias("word"))
+        .distinct()
+    )
 
 
 def with_lineage(df: DataFrame, column: str = "source_file") -> DataFrame:

@@ -52,6 +52,13 @@ def replace_partition(df: DataFrame, root: str, values: dict[str, str], by: Sequ
     return path
 
 
+def remove_partitions(spark: SparkSession, root: str, partitions: Sequence[dict[str, str]]) -> None:
+    """Remove directories of a table that have lost all rows; those that are not there are passed over."""
+    for values in partitions:
+        path = spark._jvm.org.apache.hadoop.fs.Path(partition_path(root, values))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def append_csv(df: DataFrame, path: str) -> None:
     df.write.mode("append").option("header", True).csv(path)
 

@@ -563,6 +563,17 @@ ORACLE = {
         **KEYED,
     ),
     "load_csv_once": f"SELECT DISTINCT * FROM ({EMPLOYEES}) WHERE balance > 0",
+    "quarantine_employees": (
+        "SELECT CASE WHEN emp_id % 7 > 0 THEN emp_id END AS emp_id,"
+        " CASE WHEN emp_id % 7 = 0 THEN 'malformed' WHEN age < 20 THEN 'under age' END AS reason,"
+        " CASE WHEN emp_id % 7 = 0 THEN name || ',n/a,' || emp_id END AS record"
+        f" FROM ({PEOPLE})"
+    ),
+    "quarantine_messages": (
+        "SELECT conv_id, turn, CASE WHEN (turn + conv_id) % 11 > 2 THEN text END AS message,"
+        " CASE (turn + conv_id) % 11 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty' WHEN 2 THEN 'no message' END AS reason"
+        " FROM conversations"
+    ),
     "csv_with_schema": f"SELECT name, age, emp_id FROM ({PEOPLE})",
     "csv_without_header": (
         "SELECT DISTINCT o_orderpriority AS reason, CAST(o_orderdate AS DATE) AS date,"
@@ -617,4 +628,7 @@ ORACLE = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return ORACLE | {"merge_into_target": ORACLE["merge_first_non_null"]}
+    return ORACLE | {
+        "merge_into_target": ORACLE["merge_first_non_null"],
+        "reload_leave_votes": ORACLE["reload_leaves"],
+    }

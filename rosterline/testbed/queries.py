@@ -304,8 +304,9 @@ def strike_stream(spark, sf):
     at = (F.lit("2023-12-20").cast("timestamp_ntz") + days).cast("timestamp")
     sent = t.json_messages(spark, sf).withColumn("at", at)
     for part in range(5):
-        sent.filter(F.col("turn") % 5 == part).coalesce(1).write.mode("append").parquet(f"{folder}/sent")
-    source = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/sent")
+        sent.filter(F.col("turn") % 5 == part).write.mode("append").parquet(f"{folder}/sent")
+    fifth = -(-len(spark.read.schema(sent.schema).parquet(f"{folder}/sent").inputFiles()) // 5)
+    source = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", fifth).parquet(f"{folder}/sent")
     query = start_strike_stream(
         source,
         t.vocabulary(spark, sf),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from rosterline import schemas
 from rosterline.operators import cleaning, messages
 from rosterline.plans import jobs
-from rosterline.sources import files, sinks
+from rosterline.sources import files, rejected, sinks
 from rosterline.sources.versions import VersionedTable
 from rosterline.streaming.incremental import distinct_sink, incremental_csv
 from rosterline.testbed import tables as t
@@ -61,12 +61,10 @@ def csv_append(spark, sf):
 
 
 def word_files(spark, sf):
-    """Benchmark items as JSON files of words, read back as one list."""
+    """Benchmark items as JSON arrays of words, one on a line, read back as one list."""
     path = f"{t.scratch(spark)}/words"
     found = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    items = t.table(spark, sf, "benchmark").groupBy((F.col("item_id") % 8).alias("part"))
-    joined = items.agg(F.to_json(F.flatten(F.collect_list(found))).alias("value"))  # one array a file
-    joined.write.partitionBy("part").text(path)
+    t.table(spark, sf, "benchmark").select(F.to_json(found).alias("value")).write.text(path)
     return files.read_words(spark, path)
 
 
@@ -139,6 +137,45 @@ def load_csv_once(spark, sf):
     return spark.read.schema(schema).parquet(f"{folder}/clean").select(*keys)
 
 
+def quarantine_employees(spark, sf):
+    """Customers as CSV, some with an age in words or too low: those kept, and those turned away with the reason."""
+    folder = t.scratch(spark)
+    age = F.when(F.col("emp_id") % 7 == 0, "n/a").otherwise(F.col("age").cast("string"))
+    path = _csv(_people(spark, sf).select("name", age.alias("age"), "emp_id"), f"{folder}/raw")
+    read = rejected.read_csv_checked(spark, path, schemas.EMPLOYEE)
+    table = f"{folder}/quarantine"
+    kept = rejected.quarantine(
+        read, f"{folder}/marked", table, {"load_date": f"{FIRST_DAY}"}, {"under age": F.col("age") >= 20}
+    )
+    away = rejected.read_quarantine(spark, table, ["load_date"])
+    told = away.filter(F.col(rejected.REASON) == rejected.MALFORMED).select(
+        F.lit(None).cast("bigint").alias("emp_id"),
+        F.col(rejected.REASON).alias("reason"),
+        F.col(rejected.RECORD).alias("record"),
+    )
+    young = away.filter(F.col(rejected.REASON) == "under age").select(
+        F.get_json_object(rejected.RECORD, "$.emp_id").cast("bigint").alias("emp_id"),
+        F.col(rejected.REASON).alias("reason"),
+        F.lit(None).cast("string").alias("record"),
+    )
+    none = F.lit(None).cast("string")
+    return kept.select("emp_id", none.alias("reason"), none.alias("record")).unionByName(told).unionByName(young)
+
+
+def quarantine_messages(spark, sf):
+    """Messages of which some are cut short, empty or without a text, each with the reason."""
+    value, turn = F.col("value").cast("string"), F.col("turn") + F.col("conv_id")
+    spoilt = (
+        F.when(turn % 11 == 0, F.expr("substr(CAST(value AS STRING), 1, length(CAST(value AS STRING)) - 1)"))
+        .when(turn % 11 == 1, " ")
+        .when(turn % 11 == 2, '{"sender":"x","receiver":"y"}')
+        .otherwise(value)
+    )
+    sent = t.json_messages(spark, sf).withColumn("value", spoilt.cast("binary"))
+    parsed = rejected.parse_messages_checked(sent, keep=["conv_id", "turn"])
+    return parsed.select("conv_id", "turn", "message", F.col(rejected.REASON).alias("reason"))
+
+
 def reload_employees(spark, sf):
     """A day of employees loaded, corrected and loaded again, next to another day."""
     folder = t.scratch(spark)
@@ -167,6 +204,21 @@ def reload_leaves(spark, sf):
     return files.read_or_empty(spark, tables[1], schemas.LEAVE_LEDGER).drop("ingest_timestamp")
 
 
+def reload_leave_votes(spark, sf):
+    """`reload_leaves` from votes kept by day, the correction loaded twice."""
+    folder = t.scratch(spark)
+    booked = t.bookings(spark, sf)
+    everyone = booked.select("emp_id", F.lit("ACTIVE").alias("status")).distinct()
+    ledger = VersionedTable(f"{folder}/ledger", schemas.LEAVE_LEDGER, "emp_id", 16)
+    early = booked.filter(F.col("year") < t.LEAVE_YEAR)
+    for rows in (booked, early, early):
+        raw = rows.select(F.col("emp_id").cast("string").alias("emp_id"), "date", "status")
+        jobs.refresh_leave_votes(
+            raw, t.closed_days(spark, sf), everyone, f"{folder}/votes", ledger, dt.datetime(2024, 5, 1, 7)
+        )
+    return ledger.read(spark).drop("ingest_timestamp")
+
+
 def _versioned(folder: str) -> VersionedTable:
     return VersionedTable(f"{folder}/timeline", schemas.TIMELINE, "emp_id", 16, ["status"])
 
@@ -244,8 +296,11 @@ ALL = [
     overwrite_table,
     input_files,
     load_csv_once,
+    quarantine_employees,
+    quarantine_messages,
     reload_employees,
     reload_leaves,
+    reload_leave_votes,
     refresh_touched,
     timeline_inbox,
     merge_headcount,

@@ -101,3 +101,13 @@ def test_upsert_statement():
         "INSERT INTO t (id, a, b) SELECT id, a, b FROM s ON CONFLICT (id) DO UPDATE SET"
         " a = EXCLUDED.a, b = EXCLUDED.b"
     )
+
+
+def test_words_in_any_layout_are_read_by_line(spark, folder):
+    words = ["a,b", 'say "hi"', "back\\slash", "line\nend", "]", "[x", "é", "", "日本"]
+    put(folder, "w/1.json", json.dumps(words, indent=2))
+    put(folder, "w/2.json", json.dumps(words, ensure_ascii=False) + "\n" + json.dumps(["more"]))
+    put(folder, "w/3.json", "[]")
+    found = files.read_words(spark, folder + "/w")
+    assert sorted(r[0] for r in found.collect()) == sorted([*words, "more"])
+    assert "wholetext" not in plan(found).lower()
