@@ -21,7 +21,17 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from rosterline.llm.common import staged
-from rosterline.llm.spans import searchable, sha256, spans_of, written
+from rosterline.llm.spans import (
+    MARK,
+    bound,
+    chunks,
+    part,
+    replaced,
+    searchable,
+    sha256,
+    spans_of,
+    written,
+)
 
 # Fixed values. A repeat that begins with the class of what precedes it starts at the head of
 # a run only (or where the last match ended), which finds the same matches in linear time.
@@ -142,14 +152,12 @@ def _gazetteer(kind: str, value: Column) -> Column:
     )
 
 
-def _candidate(kind: str, rank: int, text: Column):
+def _candidate(kind: str, rank: int, chunked: Column):
     """Turns a span of a looser expression into its votes and features."""
     likely, unlikely = CUES[kind]
 
     def described(s: Column) -> Column:
-        size = F.least(s["start"], F.lit(CONTEXT))
-        # The text's substring is counted from one.
-        before = F.lower(text.substr(s["start"] - size + 1, size))
+        before = F.lower(part(chunked, F.greatest(s["start"] - CONTEXT, F.lit(0)), s["start"]))
         value = s["value"]
         cue = _vote(before.rlike(rf"\b(?:{likely})\b"), before.rlike(rf"\b(?:{unlikely})\b"))
         digits = F.length(_digits(value))
@@ -174,13 +182,32 @@ def _candidate(kind: str, rank: int, text: Column):
 
 def candidate_spans(text: Column, base: Column) -> Column:
     """Spans (rank, start, end, votes, features) of the other kinds that no base span touches."""
-    parts = []
-    for rank, (kind, pattern) in enumerate(CANDIDATES.items(), len(BASE)):
-        parts.append(F.transform(spans_of(text, pattern), _candidate(kind, rank, text)))
-    free = F.concat(*parts)
-    return F.filter(
-        free, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    )
+    loose = F.array(*[spans_of(text, pattern) for pattern in CANDIDATES.values()])
+
+    def described(found: Column) -> Column:
+        some = F.exists(found, lambda spans: F.size(spans) > 0)
+        hidden = replaced(text, F.transform(base, _ends), lambda s, end: F.repeat(F.lit(MARK), end - s["start"]))
+        # Texts without candidates are not cut up.
+        return bound(
+            F.when(some, chunks(text)),
+            lambda c: bound(F.when(some & (F.size(base) > 0), chunks(hidden)), lambda h: free(found, c, h)),
+        )
+
+    def free(found: Column, chunked: Column, covered: Column) -> Column:
+        def apart(s: Column) -> Column:
+            return ~F.coalesce(F.contains(part(covered, s["start"], s["end"]), F.lit(MARK)), F.lit(False))
+
+        parts = [
+            F.transform(F.filter(found[i], apart), _candidate(kind, i + len(BASE), chunked))
+            for i, kind in enumerate(CANDIDATES)
+        ]
+        return F.concat(*parts)
+
+    return bound(loose, described)
+
+
+def _ends(s: Column) -> Column:
+    return F.struct(s["start"].alias("start"), s["end"].alias("end"))
 
 
 def maximise(counts: list[tuple[str, tuple[int, ...], int]], rounds: int = 60) -> Labels:
@@ -320,33 +347,12 @@ def mask_personal(df: DataFrame, text_column: str = "text") -> DataFrame:
     Null stays null; other columns stay as they are.
     """
     found = find_personal(df, text_column)
-    by_start = F.array_sort(
-        F.transform(
-            "found",
-            lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank")),
-        )
+    spans = F.transform(
+        "found",
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank")),
     )
     text = F.col("row")[text_column]
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-
-    def step(state: Column, s: Column) -> Column:
-        apart = s["start"] >= state["at"]
-        before = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        parts = F.array_append(state["parts"], F.concat(before, names[s["rank"]]))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(apart, parts).otherwise(state["parts"]).alias("parts"),
-        )
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    masked = F.aggregate(
-        by_start,
-        begin,
-        step,
-        lambda state: F.concat(
-            F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text))
-        ),
-    )
-    changed = F.when(F.size("found") > 0, masked).otherwise(text)
+    changed = replaced(text, spans, lambda s, end: names[s["rank"]])
     columns = [changed.alias(c) if c == text_column else F.col("row")[c].alias(c) for c in df.columns]
     return found.select(*columns)

@@ -5,7 +5,9 @@ import glob
 import hashlib
 import math
 import os
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -16,7 +18,16 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rosterline.llm import op1_lattice, op2_chain, op4_packing, op5_secrets, op8_fertility, op9_bpe, op10_pii
+from rosterline.llm import (
+    op1_lattice,
+    op2_chain,
+    op4_packing,
+    op5_secrets,
+    op8_fertility,
+    op9_bpe,
+    op10_pii,
+    spans,
+)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -518,3 +529,57 @@ def test_chain_without_labels_or_documents(spark, docs, no_docs):
     one = spark.createDataFrame([(i, 0) for i in range(10)], "doc_id bigint, toxic int")
     assert not any(r.toxic for r in op2_chain.toxicity(docs[0], one, categories).collect())
     assert op2_chain.toxicity(no_docs, one, categories).count() == 0
+
+
+# --- Many matches in one text
+
+
+def test_spans_of_a_text_with_many_matches(spark):
+    """Places are right far into a text, and time grows with the matches, not with their square."""
+    seconds = []
+    for n in (100_000, 200_000):
+        text = " ".join(f"ab{i}é" for i in range(n))
+        df = spark.createDataFrame([(text,)], "text string")
+        begin = time.perf_counter()
+        found = df.select(spans.spans_of(spans.searchable(F.col("text")), "[0-9]++").alias("s")).first().s
+        seconds.append(time.perf_counter() - begin)
+        assert len(found) == n
+        assert all(text[s.start : s.end] == s.value == str(i) for i, s in list(enumerate(found))[:: n // 97])
+    assert seconds[1] < 3 * seconds[0] + 5
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_parts_and_replaced_spans(spark, seed):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(60):
+        text = "".join(rng.choices("abc é🙂\n日", k=rng.randint(0, 400)))
+        spans_in = [sorted(rng.choices(range(len(text) + 1), k=2)) for _ in range(rng.randint(0, 9))]
+        rows.append((text, [(a, b) for a, b in spans_in if a < b]))
+    df = spark.createDataFrame(rows, "text string, spans array<struct<start:int,end:int>>")
+    marked = spans.replaced(F.col("text"), F.col("spans"), lambda s, end: F.concat(F.lit("<"), end - s["start"], F.lit(">")))
+    cut = F.transform("spans", lambda s: spans.part(spans.chunks(F.col("text")), s["start"], s["end"]))
+    for r in df.select("text", "spans", marked.alias("marked"), cut.alias("cut")).collect():
+        assert r.cut == [r.text[s.start : s.end] for s in r.spans]
+        want, at = [], 0
+        unions = []
+        for a, b in sorted((s.start, s.end) for s in r.spans):
+            if unions and a < unions[-1][1]:
+                unions[-1][1] = max(unions[-1][1], b)
+            else:
+                unions.append([a, b])
+        for a, b in unions:
+            want += [r.text[at:a], f"<{b - a}>"]
+            at = b
+        assert r.marked == "".join(want) + r.text[at:]
+
+
+def test_personal_data_in_a_long_list(spark):
+    """Twenty thousand addresses and names in one text are found and masked in good time."""
+    n = 20_000
+    text = "\n".join(f"Dr Anna Berg{i % 7} <user{i}@example.org>, call 415-555-{i % 10_000:04}" for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, None)], "doc_id int, text string")
+    report = {r.doc_id: r for r in op10_pii.personal_report(df).collect()}
+    assert report[1].n_email == n and report[2].n_email == 0
+    masked = {r.doc_id: r.text for r in op10_pii.mask_personal(df).collect()}
+    assert masked[1].count("<EMAIL>") == n and masked[2] is None and "@" not in masked[1]
