@@ -38,6 +38,8 @@ from rosterline.llm.common import (
 )
 
 SHINGLE = 5
+# A character of a word, as a regular expression.
+WORD = r"[^\x20\x09-\x0D]"
 # Similarity as a share of a hundred.
 THRESHOLD = 80
 # Seeds of the orders: the first is indexed, the others filter.
@@ -512,20 +514,20 @@ def join_report(df: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row of each component, one with its id; rows without shingles all stay."""
-    groups = near_duplicates(df, id_column, text_column)
-    alone = F.when(F.col("n_shingles") == 0, F.col("key"))
-    first = groups.groupBy("component_root", alone.alias("alone")).agg(
-        F.min(F.struct(F.col(id_column).isNull(), F.col(id_column), F.col("key"))).alias("first")
-    )
-    kept = first.select(F.col("first.key").alias("_kept"), F.col("alone").isNotNull().alias("_alone"))
-    keyed = df.select(F.struct("*").alias("row"), text_key(id_column, text_column).alias("_key"))
-    # Rows given twice have the same key; those without shingles get a number each to stay apart.
-    number = F.when(F.col("_alone"), F.monotonically_increasing_id())
-    return (
-        keyed.join(kept, F.col("_key") == F.col("_kept"))
-        .select("row", "_key", number.alias("_number"))
-        .dropDuplicates(["_key", "_number"])
-        .select("row.*")
-        .select(*df.columns)
+    """One row of each component, one with its id; rows without words all stay.
+
+    Rows without words are told by their text alone and go past the join, so that a lost
+    executor's task gives the same rows when it runs again.
+    """
+    worded = F.coalesce(F.col(text_column).rlike(WORD), F.lit(False))
+    first = (
+        near_duplicates(df, id_column, text_column)
+        .filter(F.col("n_shingles") > 0)
+        .groupBy("component_root")
+        .agg(F.min(F.struct(F.col(id_column).isNull(), F.col(id_column), F.col("key"))).alias("first"))
+        .select(F.col("first.key").alias("_kept"))
     )
+    keyed = df.filter(worded).select(F.struct("*").alias("row"), text_key(id_column, text_column).alias("_key"))
+    # Rows given twice have the same key.
+    kept = keyed.join(first, F.col("_key") == F.col("_kept")).dropDuplicates(["_key"])
+    return kept.select("row.*").select(*df.columns).unionByName(df.filter(~worded))
