@@ -29,15 +29,20 @@ ACTIVE, INACTIVE = "ACTIVE", "INACTIVE"
 
 
 def _with_next_start(
-    df: DataFrame, key: str, start: str, ties: Sequence[str], slice_by: Column | None
+    df: DataFrame, key: str, start: str, ties: Sequence[str], slice_by: Column | str | None
 ) -> DataFrame:
     """Add `_next`, the start of the key's following row by (start, ties).
 
     Without `slice_by` this is one window per key, right when the rows of a key are
     bounded. With it, the window runs per (key, slice) so a hot key spreads over its
     slices; only the last row of a slice looks further, to the first start of the
-    key's next slice, found on one row per (key, slice).
+    key's next slice, found on one row per (key, slice). A slice named `start` is that
+    of `_with_next_day`.
     """
+    if isinstance(slice_by, str):
+        if slice_by != start:
+            raise ValueError(f"a slice by name is {start!r}, not {slice_by!r}")
+        return _with_next_day(df, key, start, ties)
     order = [F.col(start), *[F.col(c) for c in ties]]
     if slice_by is None:
         return df.withColumn("_next", F.lead(start).over(Window.partitionBy(key).orderBy(*order)))
@@ -60,8 +65,36 @@ def _with_next_start(
     )
 
 
+def _with_next_day(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> DataFrame:
+    """`_with_next_start` for starts that a key has few of, like days, and rows may share.
+
+    All rows of a start but the last by `ties` are followed by a row of the same start. The
+    last one is an aggregate that combines map-side, and the only window holds one row per
+    start, so no task has to take in all rows of a (key, start). `ties` must tell the rows of
+    a start apart; several last rows would all get the next start.
+    """
+    largest = F.max(F.struct(*ties)) if ties else F.lit(True)
+    # Grouped as a struct, the days get an exchange of their own for the join, which can then
+    # split a hot (key, start).
+    days = df.groupBy(F.struct(key, start).alias("_day")).agg(largest.alias("_top"))
+    by_key = Window.partitionBy(f"_day.{key}").orderBy(f"_day.{start}")
+    days = days.select(
+        F.col(f"_day.{key}").alias(key),
+        F.col(f"_day.{start}").alias(start),
+        "_top",
+        F.lead(f"_day.{start}").over(by_key).alias("_after"),
+    )
+    place = F.struct(*[F.col(f"d.{c}") for c in ties]) if ties else F.lit(True)
+    last = place.eqNullSafe(F.col("h._top"))
+    return (
+        df.alias("d")
+        .join(days.alias("h"), same("d", "h", [key, start]), "left")
+        .select("d.*", F.when(last, F.col("h._after")).otherwise(F.col(f"d.{start}")).alias("_next"))
+    )
+
+
 def fill_open_end(
-    df: DataFrame, key: str, start: str, end: str, ties: Sequence[str] = (), slice_by: Column | None = None
+    df: DataFrame, key: str, start: str, end: str, ties: Sequence[str] = (), slice_by: Column | str | None = None
 ) -> DataFrame:
     """Give rows without an end the start of the key's next row; keep other ends."""
     return (
@@ -72,7 +105,7 @@ def fill_open_end(
 
 
 def chain_intervals(
-    df: DataFrame, key: str, start: str, end: str, ties: Sequence[str] = (), slice_by: Column | None = None
+    df: DataFrame, key: str, start: str, end: str, ties: Sequence[str] = (), slice_by: Column | str | None = None
 ) -> DataFrame:
     """Replace every end by the start of the key's next row (NULL for the last)."""
     return (
@@ -107,7 +140,8 @@ def timeline_build(
     Every end becomes the next start; with `keep_ends` only open ends do. The dedupe comes
     first: it combines map-side and leaves at most one row per (start day, end day) of an
     employee, which keeps a hot employee from reaching the anti join at full size. The
-    chain runs per start day, so a window holds one row per end day at most.
+    chain runs per start day: a window holds one row per day of an employee, and a hot
+    (employee, day) is spread over tasks.
     """
     dated = epoch_to_dates(raw, [START, END])
     return timeline_from_dates(dated, struck, id_col, keep_ends)
@@ -121,7 +155,7 @@ def timeline_from_dates(
     kept = exclude_ids(best, struck, EMP, id_col)
     ties = [SALARY, *others(kept, [EMP, START, SALARY])]
     link = fill_open_end if keep_ends else chain_intervals
-    return interval_status(link(kept, EMP, START, END, ties, F.col(START)))
+    return interval_status(link(kept, EMP, START, END, ties, START))
 
 
 def rebuild_chain(rows: DataFrame) -> DataFrame:

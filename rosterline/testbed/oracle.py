@@ -492,6 +492,7 @@ ORACLE = {
         **FULL,
     ),
     "quota_usage": _with("SELECT * FROM usage", **USAGE),
+    "pruned_usage": _with("SELECT * FROM usage", **USAGE),
     "quota_alerts": _with("SELECT * FROM alerts", **USAGE),
     "new_alerts": _with("SELECT * FROM fresh_alerts", **USAGE),
     "alerted_union": _with("SELECT emp_id FROM struck UNION SELECT emp_id FROM fresh_alerts", **USAGE),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rosterline import schemas
-from rosterline.operators import cleaning, messages
+from rosterline.operators import cleaning, messages, reports
 from rosterline.plans import jobs
 from rosterline.sources import files, rejected, sinks
 from rosterline.sources.versions import VersionedTable
@@ -120,6 +120,18 @@ def input_files(spark, sf):
     return named.select("c_custkey", nation.alias("nation"))
 
 
+def pruned_usage(spark, sf):
+    """Quota usage from a ledger whose other months cannot be read: it fails unless they are pruned."""
+    booked, ledger = t.bookings(spark, sf), f"{t.scratch(spark)}/ledger"
+    sinks.append_parquet(booked, ledger, ["year", "month"])
+    wanted = (F.col("year") == t.LEAVE_YEAR) & (F.col("month") < t.BEFORE_MONTH)
+    others = booked.select("year", "month").distinct().filter(~wanted)
+    broken = others.select(F.lit("not parquet").alias("value"), "year", "month")
+    broken.write.mode("append").partitionBy("year", "month").text(ledger)
+    stored = spark.read.schema(booked.schema).parquet(ledger)
+    return reports.quota_usage(stored, t.quota(spark, sf), t.LEAVE_YEAR, t.BEFORE_MONTH)
+
+
 def load_csv_once(spark, sf):
     """Customers written twice as raw CSV files, loaded a few files at a time and cleaned."""
     folder = t.scratch(spark)
@@ -295,6 +307,7 @@ ALL = [
     overwrite_dates,
     overwrite_table,
     input_files,
+    pruned_usage,
     load_csv_once,
     quarantine_employees,
     quarantine_messages,

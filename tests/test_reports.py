@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from helpers import day, plan, rows
 from rosterline.operators import reports
 
@@ -73,6 +75,14 @@ def test_usage_prunes_the_ledger(spark, folder):
     quota = spark.createDataFrame([(1, 6, 2024)], "emp_id int, leave_quota int, year int")
     usage = reports.quota_usage(spark.read.parquet(folder + "/ledger"), quota, 2024, 12)
     assert "PartitionFilters: [isnotnull(year" in plan(usage)
+    # Broken files in the other months are never opened; without the filter they are.
+    for month in ("year=2023/month=3", "year=2024/month=12"):
+        with open(f"{folder}/ledger/{month}/broken.parquet", "w") as file:
+            file.write("not parquet")
+    stored = spark.read.schema(ledger.schema).parquet(folder + "/ledger")
+    assert rows(reports.quota_usage(stored, quota, 2024, 12)) == [(1, 1, 6, 16.67)]
+    with pytest.raises(Exception, match="(?i)parquet"):
+        stored.collect()
 
 
 def test_new_alerts_and_tracking(spark):

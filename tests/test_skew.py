@@ -103,7 +103,7 @@ def test_chain_of_a_hot_employee_is_spread_over_days(spark, hot):
 
 
 def test_chain_with_given_ends_holds_one_day_in_a_window(spark):
-    """One employee, many ends on each start day: no window gets more than a day's rows."""
+    """One employee, many ends on each start day: the window gets a row per start day."""
     days = spark.range(0, 6000).select(
         F.lit(1).cast("bigint").alias("emp_id"),
         F.lit("eng").alias("designation"),
@@ -114,7 +114,25 @@ def test_chain_with_given_ends_holds_one_day_in_a_window(spark):
     nobody = spark.createDataFrame([], "employee_id string")
     built = timeline.timeline_from_dates(days, nobody)
     assert built.count() == 6000 and built.filter("end_date IS NULL").count() == 1
-    assert "_slice" in plan(built)
+    assert "max(struct(" in plan(built) and "windowspecdefinition(emp_id" not in plan(built)
+
+
+def test_chain_splits_a_hot_day(spark, small_partitions):
+    """A third of all rows start on one day of one employee; their chain is not one task."""
+    spread = F.col("id") % 3 == 0
+    lines = spark.range(0, ROWS, numPartitions=8).select(
+        F.when(spread, 0).otherwise(F.col("id") % 997).alias("emp_id"),
+        F.when(spread, F.lit(dt.date(2020, 1, 5)))
+        .otherwise(F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 30).cast("int")))
+        .alias("date"),
+        F.col("id").alias("line"),
+        F.when(F.col("id") % 5 == 0, F.lit(dt.date(2030, 1, 1))).alias("end"),
+    )
+    for operator in (timeline.chain_intervals, timeline.fill_open_end):
+        chained = operator(lines, "emp_id", "date", "end", ["line"], "date")
+        assert "skew=true" in executed(chained)
+        plain = operator(lines, "emp_id", "date", "end", ["line"])
+        assert chained.exceptAll(plain).isEmpty() and chained.count() == ROWS
 
 
 def test_trailing_count_of_a_hot_employee(spark, hot):

@@ -126,7 +126,7 @@ def test_sliced_chain_equals_single_window(spark, operator):
     ]
     df = spark.createDataFrame(data, "k int, s int, e int, line int")
     plain = operator(df, "k", "s", "e", ["line"])
-    for slice_by in (F.col("s"), F.floor(F.col("s") / 7)):
+    for slice_by in (F.col("s"), F.floor(F.col("s") / 7), "s"):
         assert rows(operator(df, "k", "s", "e", ["line"], slice_by)) == rows(plain)
 
 
@@ -227,7 +227,7 @@ def test_deactivate_changes_only_the_active_row_and_keeps_the_first_date(spark):
 def test_build_chains_by_day_in_four_exchanges_besides_the_id_list(spark):
     struck = spark.createDataFrame([("1",)], "employee_id string")
     text = plan(timeline.timeline_build(raw(spark, [(1, "a", "2024-01-01", None, 1.0)]), struck))
-    assert text.count("Exchange hashpartitioning(emp_id") == 4 and "_slice" in text
+    assert text.count("Exchange hashpartitioning(emp_id") == 4 and "_top" in text
 
 
 def test_rows_without_a_start_leave_one_active_row(spark):
