@@ -15,6 +15,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -521,6 +522,62 @@ def test_later_models_see_earlier_ones_out_of_fold(spark):
     assert chain.vocabulary.keys() >= {"slur", "insult", "buy"}
 
 
+def test_chain_equals_one_by_hand(spark):
+    """Log odds of each category from all words and the earlier categories' log odds, cut off."""
+    texts, labels = labelled(300)
+    texts += [(900, None), (901, ""), (902, "slur " * 3000 + "buy"), (903, "SLUR! (insult)")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int, junk int")
+    chain = op2_chain.fit_chain(docs, known, {"junk": F.col("junk"), "toxic": F.col("toxic")})
+    junk, toxic = chain.models
+    found = {r.doc_id: r for r in chain.score(docs, "doc_id", "text").collect()}
+    assert len(found) == len(texts)
+    for i, text in texts:
+        held = np.zeros(len(chain.vocabulary))
+        for word in (text or "").lower().split():
+            for feature in op2_chain.features_of(word):
+                if feature in chain.vocabulary:
+                    held[chain.vocabulary[feature]] = 1
+        first = np.clip(junk.bias + junk.weights @ held, -14, 14)
+        second = np.clip(toxic.bias + toxic.weights @ held + toxic.earlier[0] * first, -14, 14)
+        assert np.allclose([found[i].p_junk, found[i].p_toxic], 1 / (1 + np.exp(-np.array([first, second]))))
+
+
+def fitted_by_hand(x, y):
+    """Newton's steps for the same loss: mean log loss, and the penalty on standardised weights."""
+    inputs = np.hstack([x, np.ones((len(x), 1))])
+    penalty = op2_chain.PENALTY * np.append(x.var(0, ddof=1), 0)
+    w = np.zeros(inputs.shape[1])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-inputs @ w))
+        slope = inputs.T @ (p - y) / len(y) + penalty * w
+        curve = (inputs * (p * (1 - p))[:, None]).T @ inputs / len(y) + np.diag(penalty)
+        w -= np.linalg.solve(curve, slope)
+    return w
+
+
+def area_under_curve(odds, y):
+    return np.mean([(a > b) + (a == b) / 2 for a in odds[y == 1] for b in odds[y == 0]])
+
+
+def test_odds_of_a_fold_come_from_models_without_it(spark):
+    """Labels that are noise: a model that has seen a document knows its label, the others do not."""
+    rng = np.random.default_rng(2)
+    n, width = 360, 50
+    x, y, fold = rng.integers(0, 2, (n, width)).astype(float), rng.integers(0, 2, n), np.arange(n) % op2_chain.FOLDS
+    data = [(i, Vectors.dense(x[i]), int(fold[i]), float(y[i])) for i in range(n)]
+    rows = spark.createDataFrame(data, ["_id", "_counts", "_fold", "_y_noise"])
+    found = op2_chain._out_of_fold(rows, width, [], "noise").orderBy("_id").collect()
+    odds = np.array([r._odds_noise for r in found])
+    for f in range(op2_chain.FOLDS):
+        seen = fold != f
+        weights = fitted_by_hand(x[seen], y[seen])
+        assert np.abs(odds[~seen] - x[~seen] @ weights[:-1] - weights[-1]).max() < 0.05
+    assert area_under_curve(odds, y) < 0.6
+    model, _ = op2_chain._fitted(rows, width, [], "noise")
+    assert area_under_curve(x @ model.weights, y) > 0.7
+
+
 def test_chain_without_labels_or_documents(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id bigint, toxic int")
     categories = {"toxic": F.col("toxic")}
