@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -56,10 +58,32 @@ def staged(df: DataFrame) -> DataFrame:
     the rows again, and numbers drawn while writing stay as they are.
     """
     path = shared_folder(df.sparkSession)
+    for folders in _watched:
+        folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_watched: list[list[str]] = []
+
+
+@contextmanager
+def staged_folders() -> Iterator[list[str]]:
+    """The folders that `staged` starts on inside, in order."""
+    folders: list[str] = []
+    _watched.append(folders)
+    try:
+        yield folders
+    finally:
+        _watched[:] = [other for other in _watched if other is not folders]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; nothing that is still to be computed may read it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_key(id_column: str, text_column: str) -> Column:
     """Tells the rows of a table apart: rows with the same key are the same document twice.
 

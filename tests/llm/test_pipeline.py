@@ -10,6 +10,8 @@ import corpus_pipeline
 import pytest
 from fixtures import PASSAGE, prose
 
+from rosterline.llm.common import staged_folders
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -83,7 +85,10 @@ def test_every_document_left_is_packed(stages):
 
 def test_run_applies_the_stages(spark, tmp_path, stages):
     spark.createDataFrame(corpus(), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
-    found = corpus_pipeline.run(spark, str(tmp_path))
+    with staged_folders() as folders:
+        found = corpus_pipeline.run(spark, str(tmp_path))
+    left = [folder for folder in folders if os.path.exists(folder)]
+    assert len(left) < len(folders) / 3 and found.inputFiles()
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert Counter(map(tuple, found.select(columns).collect())) == Counter(
         map(tuple, stages[5].select(columns).collect())
