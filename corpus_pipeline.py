@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterline.llm import op4_packing, op6_substrings, op7_jaccard, op8_fertility, op10_pii
-from rosterline.llm.common import small_batches, staged, table
+from rosterline.llm.common import remove, small_batches, staged, staged_folders, table
 from rosterline.llm.queries import PIECE_BPE, WORD_BPE
 
 
@@ -60,8 +60,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to `documents`, each to what its predecessor kept."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to `documents`, each to what its predecessor kept.
+
+    Once a stage's documents are written, its input and its intermediate tables are removed.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
+        with staged_folders() as folders:
+            docs = staged(stage(spark, docs, sf_dir))
+        *used, written = folders
+        for folder in [*before, *used]:
+            remove(spark, folder)
+        before = [written]
     return STAGES[-1][1](spark, docs, sf_dir)
