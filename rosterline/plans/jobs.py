@@ -2,7 +2,10 @@
 
 Paths, dates and further sinks come from the caller. A `Sink` gets the rows a job
 has written, read back from storage, so a database copy never evaluates the plan a
-second time. A job without input returns False and writes nothing.
+second time. A job without input returns False and changes nothing.
+
+Whether there is input shows in the number of rows that the write counts: a source is
+looked at again, for a first row, only where nothing came of it.
 """
 
 from __future__ import annotations
@@ -33,12 +36,14 @@ def load_employees(
 ) -> bool:
     """Employee CSV files into a table partitioned by load date."""
     raw = files.read_csv(spark, source, schemas.EMPLOYEE)
-    if raw.isEmpty():
-        return False
     keys = ["emp_id", "name", "age"]
     clean = cleaning.stamp_load_date(cleaning.clean_required(raw, keys, ["age"], keys), as_of)
     day = {"year": f"{as_of:%Y}", "month": f"{as_of:%m}", "day": f"{as_of:%d}"}
-    path = sinks.replace_partition(clean, table, day)
+    ready = sinks.prepare_partition(clean, table, day)
+    if not ready.rows and raw.isEmpty():
+        sinks.discard(spark, ready)
+        return False
+    path = sinks.put_in_place(spark, ready)
     sink(files.read_or_empty(spark, path, schemas.EMPLOYEE).select(*keys))
     return True
 
@@ -57,11 +62,11 @@ def load_quota(spark: SparkSession, source: str, table: str, sink: Sink = _no_si
 
 def _load_yearly(spark, raw, clean, table, schema, sink) -> bool:
     """Append the rows a yearly table does not hold yet, so a load can be repeated."""
-    if raw.isEmpty():
-        return False
     rows = clean(raw).select(*schema.fieldNames())
     known = files.read_or_empty(spark, table, schema)
-    sinks.append_parquet(keyed.new_rows_only(rows, known, rows.columns), table, ["year"])
+    added = sinks.append_parquet(keyed.new_rows_only(rows, known, rows.columns), table, ["year"])
+    if not added and raw.isEmpty():
+        return False
     sink(spark.read.schema(schema).parquet(table))
     return True
 
@@ -82,15 +87,15 @@ def refresh_timeline(
     of them several times.
     """
     raw = files.read_csv(spark, source, schemas.TIMEFRAME_RAW)
-    if raw.isEmpty():
-        return False
     typed = raw.withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
     new = timeline.timeline_build(typed, struck).select(*schemas.TIMELINE.fieldNames())
+    load, loaded = sinks.stage_counted(new, f"{root}/_staging/load")
+    if not loaded and raw.isEmpty():
+        return False
     if previous is None:
-        merged = timeline.rebuild_chain(new)
+        merged = timeline.rebuild_chain(load)
     else:
         existing = spark.read.schema(schemas.TIMELINE).parquet(f"{root}/version={previous}")
-        load = sinks.stage(new, f"{root}/_staging/load")
         fresh = sinks.stage(timeline.fresh_rows(existing, load), f"{root}/_staging/fresh")
         merged = timeline.merge_fresh(existing, fresh)
     sink(sinks.write_version(timeline.deactivate_ids(merged, struck, as_of), root, version, ["status"]))
@@ -108,16 +113,14 @@ def refresh_touched(
     """`refresh_timeline` that rewrites only the buckets in which a row changes.
 
     These are the buckets of employees with fresh rows, and of struck-out ones with an open
-    row; repeating a load therefore rewrites nothing. Whether there is input shows in what is
-    staged, so the source is read a second time only where nothing came of it. The sink gets
-    the rewritten buckets.
+    row; repeating a load therefore rewrites nothing. The sink gets the rewritten buckets.
     """
     spark = raw.sparkSession
     typed = raw.withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
     staging = f"{table.root.rstrip('/')}/_staging"
     built = timeline.timeline_build(typed, struck).select(*schemas.TIMELINE.fieldNames())
-    load = sinks.stage(built, f"{staging}/load")
-    if load.isEmpty() and raw.isEmpty():
+    load, loaded = sinks.stage_counted(built, f"{staging}/load")
+    if not loaded and raw.isEmpty():
         return False
     base = table.before(spark, version)
     if not base.number:
@@ -203,8 +206,6 @@ def refresh_leaves(
     settled again and replaced, also those left without rows; others are not read.
     """
     raw = files.read_csv(spark, source, schemas.LEAVE_RAW)
-    if raw.isEmpty():
-        return False
     typed = raw.withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
     kept = leaves.with_ingest(leaves.leave_events(typed, calendar, timeline_rows), as_of)
     dated = kept.withColumns({"year": F.year("date"), "month": F.month("date")})
@@ -214,9 +215,13 @@ def refresh_leaves(
         """The months of some records: a row per calendar month."""
         return {(r.year, r.month) for r in df.select(*months).distinct().collect()}
 
+    ready = sinks.prepare_partition(dated, events, {"ingest_date": day}, months)
+    if not ready.rows and raw.isEmpty():
+        sinks.discard(spark, ready)
+        return False
     stored = files.read_or_empty(spark, events, schemas.LEAVE_LEDGER)
     before = months_of(stored.filter(F.col("ingest_date") == day))
-    sinks.replace_partition(dated, events, {"ingest_date": day}, months)
+    sinks.put_in_place(spark, ready)
     stored = files.read_or_empty(spark, events, schemas.LEAVE_LEDGER)
     touched = before | months_of(stored.filter(F.col("ingest_date") == day))
     if touched:
@@ -252,8 +257,8 @@ def refresh_leave_votes(
     root, keys = votes.rstrip("/"), leaves.VOTE_KEYS
     typed = raw.withColumn("emp_id", F.col("emp_id").try_cast("bigint"))
     kept = leaves.with_ingest(leaves.leave_events(typed, calendar, timeline_rows), as_of)
-    new = sinks.stage(leaves.leave_votes(kept), f"{root}/_staging/{day}")
-    if new.isEmpty() and raw.isEmpty():
+    new, counted = sinks.stage_counted(leaves.leave_votes(kept), f"{root}/_staging/{day}")
+    if not counted and raw.isEmpty():
         return False
     stored = T.StructType([*schemas.LEAVE_VOTES.fields, *_PLACE.fields])
     old = files.read_or_empty(spark, f"{root}/days", stored).filter(F.col("ingest_day") == day)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,13 +18,23 @@ def gathered(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by]) if by else df
 
 
-def append_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    gathered(df, by).write.mode("append").partitionBy(*by).parquet(path)
+def _write_counted(df: DataFrame, mode: str, path: str, by: Sequence[str]) -> int:
+    """Write rows and return how many there were, counted by the tasks that write them."""
+    seen = Observation()
+    # Above the rebalance: adaptive execution may drop what is below an exchange without rows.
+    rows = gathered(df, by).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode(mode).partitionBy(*by).parquet(path)
+    return seen.get["rows"]
 
 
-def overwrite_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Replace the whole table."""
-    gathered(df, by).write.mode("overwrite").partitionBy(*by).parquet(path)
+def append_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
+    """Add rows to a table; returns their number."""
+    return _write_counted(df, "append", path, by)
+
+
+def overwrite_parquet(df: DataFrame, path: str, by: Sequence[str] = ()) -> int:
+    """Replace the whole table; returns the number of rows it has now."""
+    return _write_counted(df, "overwrite", path, by)
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -42,14 +53,67 @@ def partition_path(root: str, values: dict[str, str]) -> str:
     return "/".join([root.rstrip("/"), *[f"{name}={value}" for name, value in values.items()]])
 
 
+class Prepared(NamedTuple):
+    """A directory written aside, the one it is to become, and its number of rows."""
+
+    aside: str
+    path: str
+    rows: int
+
+
+def prepare_partition(df: DataFrame, root: str, values: dict[str, str], by: Sequence[str] = ()) -> Prepared:
+    """Write one directory of a table below `_staging`, where readers of the table do not look.
+
+    `df` may hold the partition's columns; they are in the path.
+    """
+    aside = partition_path(f"{root.rstrip('/')}/_staging", values)
+    return Prepared(aside, partition_path(root, values), overwrite_parquet(df.drop(*values), aside, by))
+
+
+def put_in_place(spark: SparkSession, prepared: Prepared) -> str:
+    """Let a prepared directory take the place of the one of that name, which it returns.
+
+    The old directory stays until the new one is written; in between are a delete and a
+    rename. A load that breaks off there is mended by repeating it.
+    """
+    aside, path = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (prepared.aside, prepared.path))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(path, True)
+    system.mkdirs(path.getParent())
+    if not system.rename(aside, path):
+        raise OSError(f"{prepared.aside} could not be moved to {prepared.path}")
+    _remove_empty(system, aside.getParent(), "_staging")
+    return prepared.path
+
+
+def discard(spark: SparkSession, prepared: Prepared) -> None:
+    """Remove a prepared directory, and the table's if nothing else is in it."""
+    aside = spark._jvm.org.apache.hadoop.fs.Path(prepared.aside)
+    system = aside.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(aside, True)
+    _remove_empty(system, _remove_empty(system, aside.getParent(), "_staging"), None)
+
+
+def _remove_empty(system, folder, upto: str | None):
+    """Remove a folder and those above it up to one of that name while they are empty.
+
+    Returns the folder above the last one looked at.
+    """
+    name = None
+    while name is None or (upto is not None and name != upto):
+        name = folder.getName()
+        if system.exists(folder) and not system.listStatus(folder):
+            system.delete(folder, False)
+        folder = folder.getParent()
+    return folder
+
+
 def replace_partition(df: DataFrame, root: str, values: dict[str, str], by: Sequence[str] = ()) -> str:
     """Replace one directory of a table whole, also when `df` has no rows for it.
 
     `df` may hold the partition's columns; they are in the path. Returns the directory.
     """
-    path = partition_path(root, values)
-    overwrite_parquet(df.drop(*values), path, by)
-    return path
+    return put_in_place(df.sparkSession, prepare_partition(df, root, values, by))
 
 
 def remove_partitions(spark: SparkSession, root: str, partitions: Sequence[dict[str, str]]) -> None:
@@ -70,8 +134,13 @@ def write_alerts(texts: DataFrame, path: str, run_date: str) -> None:
 
 def stage(df: DataFrame, path: str) -> DataFrame:
     """Write an intermediate result and read it back, so later uses only scan it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stage_counted(df, path)[0]
+
+
+def stage_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """`stage`, and the number of rows written."""
+    rows = overwrite_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows
 
 
 def write_version(df: DataFrame, root: str, version: str, by: Sequence[str] = ()) -> DataFrame:
