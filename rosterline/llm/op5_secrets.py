@@ -2,13 +2,17 @@
 
 From each rule's expression follows what any match must hold: a Boolean query of trigrams in
 lower case. The trigrams of all rules are looked up in every text once, which gives the
-postings (trigram, document). A document's postings decide which rules it can match, and
-only those are run on it. A rule whose matches need no trigram runs on every document.
+posting lists (trigram, document). A query is evaluated over the lists, from its leaves up:
+lists under an "and" are intersected, lists under an "or" united. What is left are the
+candidates of a rule, on whose texts it runs. A rule whose matches need no trigram runs on
+every document.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
+from operator import or_
 from re import _constants as sre
 from re import _parser as parser
 from typing import NamedTuple
@@ -16,11 +20,13 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterline.llm.common import text_key
+from rosterline.llm.common import staged, text_key
 from rosterline.llm.spans import searchable, sha256, spans_of, written
 
 # The most strings that a part of an expression may stand for to be spelled out.
 MOST_STRINGS = 64
+# Lists that are intersected at once: each has a bit of a long.
+MOST_LISTS = 60
 
 
 class Rule(NamedTuple):
@@ -56,15 +62,21 @@ RULES = (*BASE, *EXTRA)
 ALWAYS = ("and",)
 
 
+def _parts(query, kind: str) -> tuple:
+    """The parts of a query of that kind, or the query itself as the only one."""
+    return query[1:] if not isinstance(query, str) and query[0] == kind else (query,)
+
+
 def _all_of(parts) -> tuple | str:
-    kept = list(dict.fromkeys(p for p in parts if p != ALWAYS))
+    kept = list(dict.fromkeys(p for part in parts for p in _parts(part, "and")))
     return kept[0] if len(kept) == 1 else ("and", *kept)
 
 
 def _any_of(parts) -> tuple | str:
-    kept = list(dict.fromkeys(parts))
-    if ALWAYS in kept:
-        return ALWAYS
+    """One of the parts; a part that asks for all that another one asks for, and more, is left out."""
+    kept = list(dict.fromkeys(p for part in parts for p in _parts(part, "or")))
+    asked = [set(_parts(p, "and")) for p in kept]
+    kept = [p for p, own in zip(kept, asked, strict=True) if not any(other < own for other in asked)]
     return kept[0] if len(kept) == 1 else ("or", *kept)
 
 
@@ -150,31 +162,92 @@ def trigrams_in(query) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*(trigrams_in(q) for q in query[1:]))
 
 
-def fulfilled(query, held: Column) -> Column:
-    """Whether the trigrams of a document, an array, fulfil a query."""
-    if isinstance(query, str):
-        return F.array_contains(held, query)
-    found = F.lit(query[0] == "and")
-    for part in query[1:]:
-        found = found & fulfilled(part, held) if query[0] == "and" else found | fulfilled(part, held)
-    return found
-
-
 def postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
     """(trigram, key) for every one of the trigrams that a text, `low`, holds."""
     held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in trigrams]))
     return texts.select("key", F.explode(held).alias("trigram"))
 
 
-def candidates(texts: DataFrame, rules) -> DataFrame:
-    """(key, kinds): the rules with a query that a document's postings fulfil."""
-    queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
-    needed = {kind: q for kind, q in queries.items() if q != ALWAYS}
-    listed = sorted(set().union(*(trigrams_in(q) for q in needed.values())))
-    # One posting per trigram and text, copies of a text included, meets here.
-    held = postings(texts, listed).groupBy("key").agg(F.collect_set("trigram").alias("held"))
-    kinds = [F.when(fulfilled(q, F.col("held")), F.lit(kind)) for kind, q in needed.items()]
-    return held.select("key", F.array_compact(F.array(*kinds)).alias("kinds")).filter(F.size("kinds") > 0)
+class Node(NamedTuple):
+    """An "and" or "or" of a query; its height is one more than that of its highest child."""
+
+    name: str
+    kind: str
+    children: tuple[str, ...]
+    height: int
+
+
+def _nodes(queries) -> tuple[list[Node], dict]:
+    """The nodes of some queries, equal ones once, and the name of each query's node.
+
+    Trigrams are named by themselves. An "and" of more than `MOST_LISTS` parts is an "and" of
+    several with fewer.
+    """
+    nodes: dict[tuple, Node] = {}
+
+    def add(query) -> tuple[str, int]:
+        if isinstance(query, str):
+            return query, 0
+        kind, parts = query[0], query[1:]
+        if kind == "and" and len(parts) > MOST_LISTS:
+            cuts = range(0, len(parts), MOST_LISTS)
+            return add((kind, *[(kind, *parts[i : i + MOST_LISTS]) for i in cuts]))
+        if query not in nodes:
+            names, heights = zip(*map(add, parts), strict=True)
+            nodes[query] = Node(f"node {len(nodes)}", kind, names, 1 + max(heights))
+        return nodes[query].name, nodes[query].height
+
+    names = {query: add(query)[0] for query in queries}
+    return list(nodes.values()), names
+
+
+def _evaluated(lists: DataFrame, nodes: list[Node]) -> DataFrame:
+    """The lists (node, key) of some nodes, from the lists of their children.
+
+    Every key gathers the bits of the children in whose lists it is; a key that is in a
+    list several times, as copies are, adds nothing.
+    """
+    above: dict[str, list] = {}
+    for node in nodes:
+        for i, child in enumerate(node.children):
+            bit = F.lit(1 << i if node.kind == "and" else 1).cast("bigint")
+            above.setdefault(child, []).append(F.struct(F.lit(node.name).alias("parent"), bit.alias("bit")))
+    parents = F.create_map(*[x for child, found in above.items() for x in (F.lit(child), F.array(*found))])
+    whole = F.create_map(
+        *[
+            F.lit(value)
+            for node in nodes
+            for value in (node.name, (1 << len(node.children)) - 1 if node.kind == "and" else 1)
+        ]
+    )
+    bits = lists.select("key", F.inline(F.element_at(parents, F.col("node"))))
+    held = bits.groupBy("key", "parent").agg(F.bit_or("bit").alias("bits"))
+    wanted = F.element_at(whole, F.col("parent")).cast("bigint")
+    return held.filter(F.col("bits") == wanted).select(F.col("parent").alias("node"), "key")
+
+
+def candidates(held: DataFrame, queries: dict) -> DataFrame:
+    """(key, kinds): by postings (trigram, key), the kinds with a query that a text fulfils."""
+    nodes, names = _nodes(queries.values())
+    lists = held.select(F.col("trigram").alias("node"), "key")
+    for height in range(1, max((node.height for node in nodes), default=0) + 1):
+        lists = lists.unionByName(_evaluated(lists, [node for node in nodes if node.height == height]))
+    kinds: dict[str, list[str]] = {}
+    for kind, query in queries.items():
+        kinds.setdefault(names[query], []).append(kind)
+    of = F.create_map(*[x for name, found in kinds.items() for x in (F.lit(name), F.array(*map(F.lit, found)))])
+    fulfilled = lists.select("key", F.explode(F.element_at(of, F.col("node"))).alias("kind"))
+    return fulfilled.groupBy("key").agg(F.collect_set("kind").alias("kinds"))
+
+
+def anchors(query, lengths: dict[str, int]) -> set[str]:
+    """Trigrams of which every text that fulfils a query holds one, with short posting lists."""
+    if isinstance(query, str):
+        return {query}
+    found = [anchors(part, lengths) for part in query[1:]]
+    if query[0] == "or":
+        return set().union(*found)
+    return min(found, key=lambda own: (sum(lengths.get(t, 0) for t in own), sorted(own)))
 
 
 def _accepted(rule: Rule):
@@ -195,27 +268,51 @@ def _of_kind(kind: str):
     return lambda s: s["kind"] == kind
 
 
+def _scanned(rows: DataFrame, rules, indexed, asked: bool) -> DataFrame:
+    """`row` and `found` of rows with `text`: the rules that are not indexed run on all of them.
+
+    If `asked`, the indexed ones run where `kinds` names them, else nowhere.
+    """
+    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
+    parts = [none]
+    for rank, rule in enumerate(rules):
+        if rule.kind in indexed and not asked:
+            continue
+        spans = F.transform(spans_of(F.col("text"), rule.pattern, _accepted(rule)), _named(rank, rule.kind))
+        wanted = F.array_contains("kinds", rule.kind) if rule.kind in indexed else F.lit(True)
+        parts.append(F.when(wanted, spans).otherwise(none))
+    return rows.select("row", F.array_sort(F.concat(*parts)).alias("found"))
+
+
 def find_secrets(df: DataFrame, rules=RULES, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The input's columns as struct `row`, and `found`: spans (start, rank, end, kind), sorted.
 
     `rank` is the place of the kind in `rules`. A null or empty text has none; rows and ids may
-    repeat, columns may have any names. Documents and candidates meet by a key of id and text,
-    one row each, so no key is hot but by whole copies. Everything is a built-in function.
+    repeat, columns may have any names. Everything is a built-in function.
+
+    The posting lists are written once, and their lengths, a number per trigram of the rules,
+    choose the rarest trigrams that any candidate must hold one of. Only texts that do cross an
+    exchange to meet the candidates, by a key of id and text, one row each, so no key is hot but
+    by whole copies; all others go past it to the rules that scan fully.
     """
-    needs = {rule.kind: trigram_query(rule.pattern) != ALWAYS for rule in rules}
+    queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
+    queries = {kind: query for kind, query in queries.items() if query != ALWAYS}
     key = text_key(id_column, text_column)
     text = F.coalesce(F.col(text_column), F.lit(""))
-    texts = df.select(key.alias("key"), F.lower(text).alias("low"))
-    listed = candidates(texts, rules)
-    keyed = df.select(F.struct("*").alias("row"), searchable(F.col(text_column)).alias("text"), key.alias("key"))
-    rows = keyed.join(listed, "key", "left")
-    none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
-    parts = []
-    for rank, rule in enumerate(rules):
-        spans = F.transform(spans_of(F.col("text"), rule.pattern, _accepted(rule)), _named(rank, rule.kind))
-        asked = F.array_contains("kinds", rule.kind) if needs[rule.kind] else F.lit(True)
-        parts.append(F.when(asked, spans).otherwise(none))
-    return rows.select("row", F.array_sort(F.concat(*parts)).alias("found"))
+    low = F.lower(text).alias("low")
+    keyed = df.select(
+        F.struct("*").alias("row"), searchable(F.col(text_column)).alias("text"), key.alias("key"), low
+    )
+    if not queries:
+        return _scanned(keyed, rules, queries, False)
+    listed = sorted(set().union(*map(trigrams_in, queries.values())))
+    held = staged(postings(df.select(key.alias("key"), low), listed))
+    lengths = {r.trigram: r["count"] for r in held.groupBy("trigram").count().collect()}
+    rare = sorted(set().union(*(anchors(query, lengths) for query in queries.values())))
+    possible = reduce(or_, [F.contains("low", F.lit(t)) for t in rare])
+    met = keyed.filter(possible).drop("low").join(candidates(held, queries), "key", "left")
+    past = keyed.filter(~possible)
+    return _scanned(met, rules, queries, True).unionByName(_scanned(past, rules, queries, False))
 
 
 def secret_report(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
