@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,12 +22,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
     Only a missing path counts as absent; any other failure is raised.
     """
-    try:
-        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    wanted = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = wanted.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.globStatus(wanted):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def read_words(spark: SparkSession, path: str) -> DataFrame:
