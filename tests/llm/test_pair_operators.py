@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import PASSAGE, prose
 from pyspark.sql import functions as F
@@ -308,3 +309,82 @@ def test_probes_do_not_take_every_list():
     x /= np.linalg.norm(x, axis=1)[:, None]
     index = op3_pq.Index(x, len(x))
     assert np.mean([len(p) for p in index.probes(x, 0.316)]) < len(index.coarse) / 3
+
+
+def families(rng, n, of, dimension, noise):
+    centres = rng.normal(size=(n, dimension))
+    x = np.repeat(centres, of, axis=0)
+    return x + rng.normal(size=x.shape) * noise * np.linalg.norm(x, axis=1)[:, None] / np.sqrt(dimension)
+
+
+def test_a_vector_is_sent_once_to_a_few_blocks(spark, monkeypatch):
+    # Random directions are near almost every list; a vector was sent to each of them.
+    x = np.random.default_rng(0).normal(size=(1500, 64))
+    sent, links = [], op3_pq._links
+
+    def counted(encoded, *rest):
+        sent.append(encoded.select(F.sum(F.size("probes"))).first()[0])
+        return links(encoded, *rest)
+
+    monkeypatch.setattr(op3_pq, "_links", counted)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<float>")
+    assert op3_pq.near_vectors(df).filter("n_links = 0 and kept").count() == 1500
+    assert sent == [1500]
+
+
+@pytest.mark.parametrize("zeros", [0, 16])
+def test_products_lose_no_pair(monkeypatch, zeros):
+    monkeypatch.setattr(op3_pq, "TILE", (23, 9))
+    monkeypatch.setattr(op3_pq, "BLOCK", 100)
+    rng = np.random.default_rng(3)
+    x = np.concatenate([families(rng, 120, 4, 16, 0.3), families(rng, 1, 150, 16, 0.2), rng.normal(size=(50, 16))])
+    x = np.concatenate([np.zeros((len(x), zeros)), x], axis=1)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    radius = np.sqrt(0.1)
+    index = op3_pq.Index(x[::3], len(x))
+    own, codes, head, error = index.encode(x)
+    assert len(np.unique(index.region)) > 1 and (np.diff(index.region) >= 0).all()
+    columns = {"list": own, "codes": [c.tobytes() for c in codes], "head": head, "error": error}
+    table = pa.table(columns | {"vector": [v.tobytes() for v in x], "row": np.arange(len(x))}).sort_by("list")
+    found = set()
+    place = table.column("row").to_numpy()
+    for a, b, home in op3_pq._pairs(index, table, table, 0.95, radius, np.float64):
+        part = set(zip(place[a].tolist(), place[b].tolist(), home.tolist(), strict=True))
+        assert not found & part and all(h == (own[i] == own[j]) for i, j, h in part)
+        found |= part
+    pairs = {(i, j) for i, j, _ in found}
+    assert all((j, i) in pairs for i, j, home in found if home)
+    assert not any((j, i) in pairs for i, j, home in found if not home)
+    near = np.argwhere(x @ x.T >= 0.95)
+    assert {(min(p), max(p)) for p in pairs} == {(min(p), max(p)) for p in near.tolist()}
+    regions = index.regions(x, own, radius)
+    assert all(index.region[own[j]] in regions[i] for i, j in pairs)
+
+
+def test_few_links_connect_what_all_do():
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 400, (2, 600))
+    union, forest = Union(), op3_pq.Forest(400)
+    for a, b in zip(x.tolist(), y.tolist(), strict=True):
+        union.link(a, b)
+    forest.add(x[:250], y[:250])
+    forest.add(x[250:], y[250:])
+    few = Union()
+    links = np.concatenate(forest.links).tolist()
+    for a, b in links:
+        assert few.root(a) != few.root(b)
+        few.link(a, b)
+    one = {(union.root(i), few.root(i)) for i in range(400)}
+    assert len(one) == len({a for a, _ in one}) == len({b for _, b in one}) == 400 - len(links)
+    assert {tuple(p) for p in links} <= set(zip(x.tolist(), y.tolist(), strict=True))
+
+
+def test_vectors_of_doubles_link(spark, monkeypatch):
+    monkeypatch.setattr(op3_pq, "BLOCK", 30)
+    x = families(np.random.default_rng(6), 40, 3, 10, 0.25) * 1e30  # a single number cannot hold 1e300
+    x[::7] *= 1e270
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    with np.errstate(over="ignore"):
+        scaled = [(i, (np.array(v) / np.abs(v).max()).tolist()) for i, v in rows]
+    found = op3_pq.near_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"))
+    assert Counter(tuple(r) for r in found.collect()) == vector_links(scaled, 0.95, 10)
