@@ -34,7 +34,7 @@ SAMPLE, SAMPLE_NUMBERS = 20_000, 4_000_000
 MOST_LISTS, CODES, SUBSPACE = 1024, 256, 4
 # A region's vectors and queries meet in blocks of about so many; of many vectors a block holds
 # one in so many, and so many numbers at most.
-BLOCK, BLOCK_SHARE, BLOCK_NUMBERS = 8192, 24, 2_000_000
+BLOCK, BLOCK_SHARE, BLOCK_NUMBERS = 16_384, 8, 3_000_000
 # Nearest centroids are sought for so many rows at once, distances taken for so many queries and
 # vectors of a list, exact ones for so many numbers; links wait until there are so many.
 ROWS, TILE, EXACT_NUMBERS, WAITING = 512, (1024, 2048), 4_000_000, 200_000
@@ -113,7 +113,7 @@ class Index:
         home = self.coarse[own]
         excess = (to**2).sum(1) - 2 * unit @ to.T
         excess -= ((home**2).sum(1) - 2 * (unit * home).sum(1))[:, None]
-        near = excess <= 2 * self.apart[own[:, None], lists] * radius + 1e-9
+        near = excess <= (2 * radius * self.apart[:, lists] + 1e-9)[own]
         near &= lists >= own[:, None]
         return near
 
@@ -257,18 +257,17 @@ def _encoded(vectors: DataFrame, index: Index, radius: float, number: type) -> D
     return vectors.mapInArrow(rows, schema)
 
 
-def _near(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether the cosine of a[x] and b[y] reaches the threshold, for pairs (x, y)."""
+def _near(a: np.ndarray, b: np.ndarray, rows: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: float):
+    """Whether the cosine of a[rows[x]] and b[y] reaches the threshold, for pairs (x, y)."""
     near = np.empty(len(x), bool)
-    sure = np.zeros(len(x), bool)
-    if len(x) * 16 > len(a) * len(b):  # all products at once, and one by one only those at the threshold
-        above = (a @ b.T)[x, y] - threshold
-        near, sure = above > 0, np.abs(above) > 1e-9
-    left = np.flatnonzero(~sure)
+    left = np.arange(len(x))
+    if len(x) * 16 > len(rows) * len(b):  # all products at once, and one by one only those at the threshold
+        above = (a[rows] @ b.T)[x, y] - threshold
+        near, left = above > 0, np.flatnonzero(np.abs(above) <= 1e-9)
     step = max(1, EXACT_NUMBERS // a.shape[1])
     for at in range(0, len(left), step):
         some = left[at : at + step]
-        near[some] = np.einsum("ij,ij->i", a[x[some]], b[y[some]]) >= threshold
+        near[some] = np.einsum("ij,ij->i", a[rows[x[some]]], b[y[some]]) >= threshold
     return near
 
 
@@ -295,13 +294,15 @@ def _pairs(index: Index, data: pa.Table, queries: pa.Table, threshold: float, ra
             for first in range(start, end, wide):
                 stored = slice(first, min(first + wide, end))
                 near = half(some, stored)
-                if np.count_nonzero(near) * 50 > near.size:
+                many = np.count_nonzero(near)
+                if not many:
+                    continue
+                if many * 50 > near.size:
                     near &= whole(some, stored)
                 x, y = np.divmod(np.flatnonzero(near), near.shape[1])
-                if len(x):
-                    linked = _near(asking[some], unit[stored], x, y, threshold)
-                    x, y = some[x[linked]], y[linked] + first
-                    yield x, y, own[x] == lists[start]
+                linked = _near(asking, unit[stored], some, x, y, threshold)
+                x, y = some[x[linked]], y[linked] + first
+                yield x, y, own[x] == lists[start]
 
 
 def _links(
