@@ -49,6 +49,8 @@ ORDERS = (11, 12, 13)
 HUBS, NEIGHBOURS = 16, 8
 # Leading bits of a hash that make its cell; shingles in a block; most ranges of cells.
 CELL_BITS, BLOCK_SHINGLES, MOST_RANGES = 40, 600_000, 8192
+# About how many cells of a range are sorted at once, in at most so many parts of it.
+AT_ONCE, MOST_PARTS = 200_000, 64
 
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -251,17 +253,36 @@ def _firsts(values: np.ndarray) -> np.ndarray:
     return mask
 
 
+def levels_of(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each cell, the binary logarithm of the sum of the counts of all that are equal to it.
+
+    Cells are leading bits of hashes, so parts of equal width hold about as many.
+    """
+    level = np.empty(len(cells), np.uint8)
+    low, parts = cells.min(), min(len(cells) // AT_ONCE + 1, MOST_PARTS)
+    width = (cells.max() - low) // np.uint64(parts) + np.uint64(1)
+    for _ in range(parts):
+        at = np.flatnonzero((cells >= low) & (cells < low + width))
+        _, same = np.unique(cells[at], return_inverse=True)
+        level[at] = np.log2(np.bincount(same, counts[at])).astype(np.uint8)[same]
+        low += width
+    return level
+
+
 def _levels(lists: DataFrame) -> DataFrame:
-    """(block, range, levels): the binary logarithm of how many classes are in each listed cell."""
+    """(block, range, levels): the binary logarithm of how many classes are in each listed cell.
+
+    All cells of a range are held once, as numbers; they are counted part by part.
+    """
 
     def found(table):
         unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
-        cells = [unpacked_cells(x) for x in table.column("cells").to_pylist()]
-        counts = [np.frombuffer(unpack(x), np.uint8) for x in table.column("counts").to_pylist()]
-        _, at = np.unique(np.concatenate(cells), return_inverse=True)
-        times = np.bincount(at, np.concatenate(counts))
-        level = np.log2(times).astype(np.uint8)[at]
-        ends = np.cumsum([len(x) for x in cells])
+        counts = [unpack(x) for x in table.column("counts").to_pylist()]
+        ends = np.cumsum([len(x) for x in counts])
+        cells = np.empty(ends[-1], np.uint64)
+        for end, own, packed in zip(ends.tolist(), counts, table.column("cells"), strict=True):
+            cells[end - len(own) : end] = unpacked_cells(packed.as_py())
+        level = levels_of(cells, np.frombuffer(b"".join(counts), np.uint8))
         parts = [pack(x.tobytes()) for x in np.split(level, ends[:-1])]
         return pa.Table.from_arrays(
             [table.column("block"), table.column("range"), pa.array(parts, pa.binary())],

@@ -3,11 +3,13 @@
 import hashlib
 import itertools
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from fixtures import PASSAGE, prose
 from pyspark.sql import functions as F
 
@@ -208,6 +210,45 @@ def test_cells_survive_packing():
     assert (op7_jaccard.unpacked_cells(op7_jaccard.packed_cells(cells)) == cells).all()
 
 
+class Grouped:
+    """Stands for the lists of cells and gives back what is called with those of a range."""
+
+    def groupBy(self, _):
+        return self
+
+    def applyInArrow(self, found, _):
+        return found
+
+
+@pytest.mark.parametrize("lists, size, spread", [(12, 100_000, 1 << 35), (40, 500, 900), (3, 1, 1)])
+def test_levels_of_a_range_take_little_memory(lists, size, spread):
+    rng = np.random.default_rng(lists)
+    cells = [np.unique(rng.integers(0, spread, size, dtype=np.uint64)) for _ in range(lists)]
+    cells = [np.unique(np.append(c, rng.choice(cells[0], size // 10))) for c in cells]
+    counts = [rng.integers(1, 256, len(c)).astype(np.uint8) for c in cells]
+    table = pa.table(
+        {
+            "block": pa.array(range(lists), pa.int64()),
+            "range": pa.array([0] * lists, pa.int64()),
+            "cells": [op7_jaccard.packed_cells(c) for c in cells],
+            "counts": [zstandard.compress(c.tobytes()) for c in counts],
+        }
+    )
+    tracemalloc.start()
+    found = op7_jaccard._levels(Grouped())(table)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    total = Counter()
+    for c, times in zip(cells, counts, strict=True):
+        for cell, n in zip(c.tolist(), times.tolist(), strict=True):
+            total[cell] += n
+    for c, packed in zip(cells, found.column("levels").to_pylist(), strict=True):
+        level = np.frombuffer(zstandard.decompress(packed), np.uint8)
+        assert level.tolist() == [total[cell].bit_length() - 1 for cell in c.tolist()]
+    if size == 100_000:
+        assert most < 4 * sum(c.nbytes for c in cells)
+
+
 def test_one_row_of_each_group_stays(docs, no_docs):
     df, rows = docs
     kept = op7_jaccard.keep_one(df)
